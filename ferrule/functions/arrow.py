@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -9,35 +10,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def mapped(fn: Callable, kind: str, *cols: Column | str) -> Column:
-    """``fn`` applied to each distinct combination of values in a batch; for values that repeat, once for each value."""
-
-    def one(s: pd.Series) -> pd.Series:
-        known: dict = {}
-        return s.map(lambda v: known[v] if v in known else known.setdefault(v, fn(None if v is None or v != v else v)))
+def _fields(kind: str) -> list[str] | None:
+    """The field names of a flat struct type, None for any other type."""
+    return re.findall(r"[<,]\s*(\w+):", kind) if kind.startswith("struct<") else None
 
-    def more(*s: pd.Series) -> pd.Series:
-        known: dict = {}
-        rows = zip(*[x.astype(object).where(x.notna(), None) for x in s])
-        return pd.Series([known[r] if r in known else known.setdefault(r, fn(*r)) for r in rows], dtype=object)
 
-    return F.pandas_udf(_annotated(one if len(cols) == 1 else more, len(cols)), kind)(*cols)
+def _packed(values: list, fields: list[str] | None) -> pd.Series | pd.DataFrame:
+    return pd.Series(values, dtype=object) if fields is None else pd.DataFrame.from_records(values, columns=fields).astype(object)
 
 
-def _annotated(f: Callable, n: int) -> Callable:
-    if n == 1:
-        return f
+def _plain(s: pd.Series) -> pd.Series:
+    return s.astype(object).where(s.notna(), None)
 
-    def several(*s: pd.Series) -> pd.Series:
-        return f(*s)
 
-    return several
+def mapped(fn: Callable, kind: str, *cols: Column | str) -> Column:
+    """``fn`` of the columns, called once for each distinct combination of values in a batch. Null and NaN come as None."""
+    fields = _fields(kind)
 
+    def run(*series: pd.Series) -> pd.Series | pd.DataFrame:
+        known: dict = {}
+        rows = list(zip(*map(_plain, series)))
+        for r in rows:
+            if r not in known:
+                known[r] = fn(*r)
+        return _packed([known[r] for r in rows], fields)
 
-def each(fn: Callable, kind: str, col: Column | str) -> Column:
-    """``fn`` applied to each value; for values that rarely repeat."""
+    if len(cols) == 1:
+        return F.pandas_udf(lambda a: run(a), kind)(*cols)
+    return F.pandas_udf(lambda *a: run(*a), kind)(*cols)
 
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: fn(None if v is None or v != v else v))
 
-    return F.pandas_udf(run, kind)(col)
+def each(fn: Callable, kind: str, col: Column | str) -> Column:
+    """``fn`` of each value, for values that rarely repeat. Null comes as None."""
+    fields = _fields(kind)
+    return F.pandas_udf(lambda s: _packed([fn(v) for v in _plain(s)], fields), kind)(col)

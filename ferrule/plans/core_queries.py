@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ferrule.operators.diff import current_rows, diff_tables
 from ferrule.operators.drift import canonical_names, changes, unified_values
 from ferrule.operators.flatten import RecordTables
+from ferrule.operators.unify_units import foreign_numbers, reference, unify
 from ferrule.sources.tables import table
 
 _KEYS = {"paper_id": F.col, "Sample_ID": F.col}
@@ -54,3 +55,23 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 def p6_properties(spark: SparkSession, folder: str) -> DataFrame:
     """The flat table of properties, linked to record and item."""
     return RecordTables(table(spark, folder, "papers")).listed("Properties_Info").distinct()
+
+
+def _units(spark: SparkSession, folder: str):
+    lexicon, units = reference(table(spark, folder, "canon_terms"), table(spark, folder, "unit_codes"))
+    columns = ["test_id", "Property_Name", "Unit", "Value_Numeric", "Test_Temperature_K", "Test_Condition", "Note", "Value_Range"]
+    return unify(table(spark, folder, "properties").select(*columns), lexicon, units), units
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers not recorded in their common unit."""
+    return foreign_numbers(*_units(spark, folder))
+
+
+def p4_values(spark: SparkSession, folder: str) -> DataFrame:
+    """All property values in common units."""
+    columns = ["test_id", "term", "unit_code", "unit_source", "value_common", "likely_unit", "likely_p", "uncertain", "temperature_k"]
+    return _units(spark, folder)[0].select(*columns).distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_values, p5_found, p5_differences, p6_found, p6_properties)}
