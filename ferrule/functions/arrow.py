@@ -23,12 +23,18 @@ def _plain(s: pd.Series) -> pd.Series:
     return s.astype(object).where(s.notna(), None)
 
 
+#: Results that a task remembers before it forgets them all.
+REMEMBERED = 200_000
+
+
 def mapped(fn: Callable, kind: str, *cols: Column | str) -> Column:
-    """``fn`` of the columns, called once for each distinct combination of values in a batch. Null and NaN come as None."""
+    """``fn`` of the columns; a task remembers what it has computed for values that come again. Null and NaN come as None."""
     fields = _fields(kind)
+    known: dict = {}
 
     def run(*series: pd.Series) -> pd.Series | pd.DataFrame:
-        known: dict = {}
+        if len(known) > REMEMBERED:
+            known.clear()
         rows = list(zip(*map(_plain, series)))
         for r in rows:
             if r not in known:
