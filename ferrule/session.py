@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +46,17 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context, so that UDFs find it on any cluster."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ferrule_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="ferrule-package-")) / "ferrule.zip"
+    with zipfile.ZipFile(to, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(str(to))
+    sc._ferrule_shipped = True
