@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm import canon, confusables
+from ferrule.llm import canon, confusables, mixing, packing, residue, tokens
 from ferrule.sources.tables import table
 
 _TYPED = (
@@ -60,4 +60,34 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
     return confusables.groups(_formed(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_forms, p3_groups)}
+def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text in containers of each capacity."""
+    return packing.fill_containers(tokens.sized(table(spark, folder, "documents")), table(spark, folder, "pack_sizes"))
+
+
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.fill_rates(p8_packing(spark, folder), table(spark, folder, "pack_sizes"))
+
+
+def p9_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts drawn, with their repeats."""
+    return mixing.mix(tokens.sized(table(spark, folder, "documents"), keep=("source",)), table(spark, folder, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The share that each source reaches."""
+    return mixing.shares(p9_mixture(spark, folder), table(spark, folder, "mix_targets"))
+
+
+def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its likeliest residue passage."""
+    return residue.detect(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold residue in place of content."""
+    return p10_scores(spark, folder).where("n_residue > 0").select("doc_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_forms, p3_groups, p8_packing, p8_fill, p9_mixture, p9_shares, p10_found, p10_scores)}
