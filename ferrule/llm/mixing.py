@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ferrule.session import cut
 
-BLOCK_TOKENS = 4096
+BLOCK_TOKENS = 1024
 #: Tokens of a shard: what one task of the seeded selection sorts.
 SHARD_TOKENS = 20_000_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm import canon, confusables, mixing, packing, residue, tokens
+from ferrule.llm import canon, confusables, mixing, ocr, packing, residue, tokens
 from ferrule.sources.tables import table
 
 _TYPED = (
@@ -60,6 +60,22 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
     return confusables.groups(_formed(spark, folder))
 
 
+def p7_noise(spark: SparkSession, folder: str) -> DataFrame:
+    """Every case of noise with the word and what was meant."""
+    return ocr.find_noise(table(spark, folder, "ocr_items"), table(spark, folder, "paper_texts"))[0]
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with noise, by kind."""
+    return p7_noise(spark, folder).select("table_name", "row_no", "line_no", "noise_kind").distinct()
+
+
+def p7_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts repaired and reflowed."""
+    noise, marked, _ = ocr.find_noise(table(spark, folder, "ocr_items"), table(spark, folder, "paper_texts"))
+    return ocr.paragraphs(noise, marked)
+
+
 def p8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every text in containers of each capacity."""
     return packing.fill_containers(tokens.sized(table(spark, folder, "documents")), table(spark, folder, "pack_sizes"))
@@ -90,4 +106,4 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_scores(spark, folder).where("n_residue > 0").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_forms, p3_groups, p8_packing, p8_fill, p9_mixture, p9_shares, p10_found, p10_scores)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p3_found, p3_forms, p3_groups, p7_found, p7_noise, p7_paragraphs, p8_packing, p8_fill, p9_mixture, p9_shares, p10_found, p10_scores)}
