@@ -16,22 +16,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferrule.functions.arrow import each, mapped
+from ferrule.llm.canon import ELEMENTS
 from ferrule.session import cut
 
+#: Element symbols that are no words.
+SYMBOLS = frozenset(e for e in ELEMENTS if len(e) == 2) - {"As", "In", "At", "No", "He", "Be", "I"}
+
 #: Lines at the top and bottom of a page that may be running lines.
-TOP, BOTTOM = 3, 4
+TOP, BOTTOM = 2, 3
 #: Papers in which a line must recur at page edges, and the share of its occurrences that must lie there.
-PAPERS, EDGE_SHARE = 3, 0.7
+PAPERS, EDGE_SHARE = 3, 0.75
 #: How many times as frequent a word must be to count as the one meant: for sure, and where the contexts agree.
 SURE, LIKELY, ALIKE = 40, 5, 0.3
+#: The same for words of up to three letters, whose skeletons meet by chance.
+SURE_SHORT = 200
 #: Most frequent words, which are known to be right unless they are linked to others; a bound on what is sent to tasks.
 KNOWN_WORDS = 20_000
 DIMENSIONS, WINDOW, MIN_COUNT = 24, 4, 3
 
-# Glyphs that scanners confuse. First groups of letters that look like one, then classes of like shapes.
-_JOINED = (("rn", "m"), ("cl", "d"), ("ri", "n"), ("ti", "n"), ("tj", "n"), ("ii", "u"), ("vv", "w"), ("li", "h"))
-_SHAPES = str.maketrans({**dict.fromkeys("0aoöQ", "o"), **dict.fromkeys("1lijI|!", "i"), **dict.fromkeys("tf", "t"), **dict.fromkeys("s5", "s"), **dict.fromkeys("g9q", "g"), **dict.fromkeys("b6h8", "h"), **dict.fromkeys("ec", "c"), **dict.fromkeys("z2", "z"), "B": "h", "S": "s", "O": "o"})
-_DIGIT_LIKE = str.maketrans({"l": "1", "I": "1", "i": "1", "j": "1", "|": "1", "O": "0", "o": "0", "Q": "0", "D": "0", "S": "5", "s": "5", "B": "8", "b": "6", "Z": "2", "z": "2", "g": "9", "q": "9", "G": "6", "T": "7"})
+# Glyphs that scanners confuse, each as the strokes it is seen as.
+_STROKES = str.maketrans({**dict.fromkeys("0aoöQO", "o"), **dict.fromkeys("1lijI|!", "i"), **dict.fromkeys("tf", "t"), **dict.fromkeys("s5S", "s"), **dict.fromkeys("g9q", "g"), **dict.fromkeys("b6h8uB", "ii"), **dict.fromkeys("ec", "c"), **dict.fromkeys("z2", "z"), "d": "ci", "n": "ri", "m": "rri", "w": "vv"})
+_DIGIT_LIKE = str.maketrans({"l": "1", "I": "1", "|": "1", "O": "0", "o": "0", "S": "5", "s": "5", "B": "8", "b": "6", "Z": "2", "z": "2", "g": "9", "q": "9"})
 _BREAK = "-‐‑¬=­"
 _UNIT = r"(?:%|°C|°|K|MPa|GPa|HV|nm|μm|µm|mm|h|s|min|kV|mV|kJ|J|W|mA|ppm|gf|cycles|builds|bars|times|reflections|fields|wt%|at%|mg/s|mm/s|units)"
 _ROMAN = re.compile(r"[ivxl]{1,6}$")
@@ -40,11 +45,7 @@ _PAGE = re.compile(r"(?:page|p|pp|seite|s)?\W{0,3}(\d{1,5})(?:\W{1,3}(?:of|von|/
 
 def skeleton(word: str) -> str:
     """The shape of a word: equal for words that a scanner may confuse."""
-    w = word.replace("I", "l").lower()
-    for a, b in _JOINED:
-        w = w.replace(a, b)
-    w = w.translate(_SHAPES)
-    return re.sub(r"ri|ti|rn", "n", w)
+    return word.replace("I", "l").lower().translate(_STROKES).replace("ti", "ri")
 
 
 def number_of(token: str) -> str | None:
@@ -58,7 +59,9 @@ def number_of(token: str) -> str | None:
 def edge_form(line: str | None) -> dict:
     """How a line compares as a running line: its style as a page number with the number, and its folded key."""
     s = re.sub(r"\s+", " ", line or "").strip()
-    folded = " ".join(number_of(t.strip("[]().,-")) or t for t in s.split(" "))
+    paged = re.search(r"^p\.|^page\b|p a g e|^\[.*\]$|^[-–—] .* [-–—]$", s.lower())
+    loose = lambda t: t.translate(_DIGIT_LIKE) if paged and re.fullmatch("[lIOoSBZ|]{1,4}", t) and t != "|" else None
+    folded = " ".join(number_of(t.strip("[]().,-")) or loose(t.strip("[]().,-")) or t for t in s.split(" "))
     bare = re.sub(r"[^\w ]", " ", folded).strip().lower()
     style, number = None, None
     if len(s) <= 24 and (m := _PAGE.match(re.sub(r"\s+", " ", folded.lower()).strip(" -–—[]().|"))):
@@ -67,7 +70,8 @@ def edge_form(line: str | None) -> dict:
     elif _ROMAN.match(bare):
         style = "roman"
     parts = [skeleton(t) for t in re.findall(r"[A-Za-zÀ-ÿ0-9|]+", s) if number_of(t) is None and not t.isdigit()]
-    return {"style": style, "number": number, "key": " ".join(parts) + (" #" if re.search(r"\d", folded) else "")}
+    numbers = any(re.fullmatch(r"\d[\d.,]*", t.strip("[]().,;:-")) for t in folded.split(" "))
+    return {"style": style, "number": number, "key": " ".join(parts) + (" #" if numbers else "")}
 
 
 EDGE = "struct<style:string, number:bigint, key:string>"
@@ -101,15 +105,16 @@ def mark_running(lines: DataFrame) -> DataFrame:
     formed = cut(formed.withColumn("edge", edge).withColumn("labelled", labelled).withColumn("worded", worded))
 
     # What recurs: by key over papers, by key within a paper, by page number within a paper. All are pre-aggregated.
-    keyed = formed.where("worded")
-    by_paper = keyed.groupBy("table_name", "key", "paper").agg(F.count("*").alias("n"), F.count_if("edge").alias("n_edge"), F.count_if("labelled").alias("n_label"), F.countDistinct(F.when(F.col("edge"), F.col("page"))).alias("pages"))
-    by_key = by_paper.groupBy("table_name", "key").agg(F.sum("n").alias("n"), F.sum("n_edge").alias("n_edge"), F.sum("n_label").alias("n_label"), F.count_if(F.col("n_edge") > 0).alias("papers"))
-    common = by_key.where((F.col("papers") >= PAPERS) & (F.col("n_edge") >= EDGE_SHARE * F.col("n")) & ((F.col("n_label") > 0) | (F.col("table_name") == "paper_texts"))).select("table_name", "key", F.lit(True).alias("common"))
-    repeated = by_paper.where("pages >= 2 and n_edge = n").select("table_name", "paper", "key", F.lit(True).alias("repeated"))
+    # A running line begins with a capital, a digit or a sign; what begins small goes on from the line before.
+    keyed = formed.where("worded").where(~F.col("line").rlike(r"^\s*[a-z]"))
+    by_paper = keyed.groupBy("key", "paper").agg(F.count("*").alias("n"), F.count_if("edge").alias("n_edge"), F.countDistinct(F.when(F.col("edge"), F.col("page"))).alias("pages"))
+    by_key = by_paper.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_edge").alias("n_edge"), F.count_if(F.col("n_edge") > 0).alias("papers")).where(F.col("n_edge") >= EDGE_SHARE * F.col("n"))
+    common = cut(by_key.where(F.col("papers") >= PAPERS).select("key", F.lit(True).alias("common")))
+    repeated = by_paper.where("pages >= 2 and n_edge = n").join(by_key.select("key"), "key").select("paper", "key", F.lit(True).alias("repeated"))
     steps = formed.where("edge and number is not null").groupBy("table_name", "paper", (F.col("number") - F.col("page")).alias("step")).agg(F.countDistinct("page").alias("p")).where("p >= 2").select("table_name", "paper", "step", F.lit(True).alias("paged"))
 
     candidates = formed.where("edge").withColumn("step", F.col("number") - F.col("page"))
-    c = candidates.join(common, ["table_name", "key"], "left").join(repeated, ["table_name", "paper", "key"], "left").join(steps, ["table_name", "paper", "step"], "left")
+    c = candidates.join(common, "key", "left").join(repeated, ["paper", "key"], "left").join(_cut_short(candidates, common), ["table_name", "row_no", "line_no"], "left").join(steps, ["table_name", "paper", "step"], "left")
     first = F.min("page").over(Window.partitionBy("table_name", "paper"))
     titles = lines.where((F.col("from_top") <= 2) & ((F.col("table_name") == "paper_texts") | F.col("label").isin("doc_title", "title"))).groupBy("table_name", "paper").agg(F.min(F.struct("page", "from_top", "line")).alias("t"), F.min("page").alias("first_page"))
     titles = titles.select("table_name", "paper", "first_page", F.col("t.line").alias("title"))
@@ -119,11 +124,11 @@ def mark_running(lines: DataFrame) -> DataFrame:
     outer = (F.col("from_top") <= 2) | (F.col("from_bottom") <= 3) | F.col("labelled")
     on = (
         F.col("noise")
-        | (F.coalesce("common", F.lit(False)) & short)
+        | (F.coalesce("common", "shortened", F.lit(False)) & short)
         | (F.coalesce("repeated", F.lit(False)) & short & (F.col("page") >= F.coalesce("first_page", F.col("page"))) & ~F.coalesce(F.col("label").isin("table", "doc_title", "paragraph_title"), F.lit(False)))
         | (F.coalesce("paged", F.lit(False)) & outer)
         | ((F.col("style") == "marked") & outer)
-        | (F.col("style").isin("bare", "roman") & (F.col("labelled") | (F.col("style") == "roman") & ((F.col("from_bottom") <= 2) | (F.col("from_top") == 1))))
+        | (F.col("style").isin("bare", "roman") & (F.col("labelled") | (F.col("style") == "roman") & ((F.col("from_bottom") <= 2) | (F.col("from_top") <= 2))))
         | (F.col("labelled") & (F.col("n_lines") == 1) & short & ~F.col("line").rlike(r"[.!?]\s*$"))
         | ((F.col("page") > F.col("first_page")) & (F.col("from_top") <= 2) & F.coalesce(alike, F.lit(False)))
     )
@@ -131,6 +136,15 @@ def mark_running(lines: DataFrame) -> DataFrame:
     return lines.join(flagged, ["table_name", "row_no", "line_no"], "left").withColumn("running", F.coalesce("r", F.lit(False))).drop("r")
 
 
+def _cut_short(candidates: DataFrame, common: DataFrame) -> DataFrame:
+    """(table_name, row_no, line_no, shortened): lines at edges that are a common running line with its end cut off or a sign added."""
+    packed = lambda c: F.regexp_replace(c, "[ #]", "")
+    a = candidates.where("worded").select("table_name", "row_no", "line_no", packed("key").alias("k"), F.substring(packed("key"), 1, 12).alias("p")).where(F.length("k") >= 14)
+    b = common.select(packed("key").alias("c"), F.substring(packed("key"), 1, 12).alias("p")).distinct()
+    near = F.col("c").startswith(F.col("k")) & (F.length("c") - F.length("k") <= 5)
+    return a.join(b, "p").where(near).select("table_name", "row_no", "line_no", F.lit(True).alias("shortened")).distinct()
+
+
 def _begins(title: str | None, line: str | None) -> bool:
     """Whether a line is the title, or the beginning to which it was cut, perhaps misread."""
     a, b = re.sub(r"\W", "", skeleton(title or "")), re.sub(r"\W", "", skeleton(line or ""))
@@ -170,7 +184,7 @@ def line_tokens(line: str | None) -> list[dict]:
             if not core:
                 continue
         following = raw[i + 1].strip(".,;:()[]") if not last else ""
-        if number_of(core) is not None or re.fullmatch(r"[lIOoSBZ]{1,3}", core) and re.fullmatch(_UNIT, following):
+        if number_of(core) is not None and not (_FORMULA.match(core) and len(core) > 2) or re.fullmatch(r"[lIOoSBZ]{1,3}", core) and re.fullmatch(_UNIT, following):
             if not re.fullmatch(r"[-+\d.,^]+", core):
                 out.append({"i": i, "kind": "n", "word": core})
             continue
@@ -180,7 +194,7 @@ def line_tokens(line: str | None) -> list[dict]:
             part = part.strip(".,;:()[]{}\"'“”*<>’")
             if shaped(part) and (_FORMULA.match(part) or re.search(r"\d", part) or not part[1:].islower()):
                 out.append({"i": i, "kind": "f", "word": part})
-            elif len(part) > 1 and re.fullmatch(r"[A-Za-zÀ-ÿ0-9|!]+", part) and re.search("[A-Za-z]", part):
+            elif len(part) > 1 and re.fullmatch(r"[A-Za-zÀ-ÿ0-9|!]+", part) and re.search("[A-Za-z]", part) and part not in SYMBOLS:
                 out.append({"i": i, "kind": "a" if i == 0 and k == 0 else "w", "word": part})
     return out
 
@@ -209,6 +223,7 @@ def link_words(counts: DataFrame, sentences: DataFrame) -> DataFrame:
     odd = F.col("word").rlike(r"[0-9|!]") & ~F.col("meant").rlike(r"[0-9|!]")
     # A rare word beside a frequent one: 3 to 1 is enough where it has digits inside.
     sure = (F.col("m") >= SURE * F.col("n")) | odd
+    pairs = pairs.where((F.length("meant") > 3) | (F.col("m") >= SURE_SHORT * F.col("n")))
     vectors = skip_grams(sentences)
     open_ = pairs.where(~sure)
     a, b = vectors.select(F.col("word"), F.col("vector").alias("va")), vectors.select(F.col("word").alias("meant"), F.col("vector").alias("vb"))
@@ -284,7 +299,8 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     rare = whole.where(~mapped(lambda w: w is not None and w.lower() in ordinary, "boolean", "word")).withColumn("word_", F.lower("word"))
     found = rare.join(links.withColumnRenamed("word", "word_"), "word_").select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
     # A half that isn't joined to another is a word of its own line.
-    numbers = tokens.where("kind = 'n'").select(*key, F.lit("misread").alias("noise_kind"), "word", mapped(lambda w: (w or "").translate(_DIGIT_LIKE), "string", "word").alias("meant"))
+    usual_numbers = tokens.where("kind = 'n'").groupBy("word").agg(F.count("*").alias("n")).where("n >= 20").select("word")
+    numbers = tokens.where("kind = 'n'").join(usual_numbers, "word", "left_anti").select(*key, F.lit("misread").alias("noise_kind"), "word", mapped(lambda w: (w or "").translate(_DIGIT_LIKE), "string", "word").alias("meant"))
     usual = learn_elements(tokens)
     known_shapes = counts.where("n >= 20").select(F.col("word").alias("lw"))
     formulas = tokens.where("kind = 'f'").withColumn("lw", F.lower("word")).where(mapped(lambda w: formula_fault(w or "", usual), "boolean", "word")).join(known_shapes, "lw", "left_anti")
