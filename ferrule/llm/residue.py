@@ -25,7 +25,7 @@ ROUNDS = 4
 #: Passages worth of background in the positive class, as a share of it: how much an unseen feature counts against residue.
 BACKGROUND = 0.05
 #: Log odds from which a passage counts as residue.
-LEAST = 0.0
+LEAST = 2.0
 
 # Names between markers that templates leave behind. LaTeX, indices, planes, directions and sets are none.
 _NAME = r"[A-Za-z][A-Za-z]*(?:[_ .\-][A-Za-z]+)*"
@@ -33,8 +33,8 @@ _SLOT = re.compile(
     rf"\{{\{{[^{{}}\n]{{1,60}}\}}\}}|\[\[\s*{_NAME}\s*\]\]|(?<![\\$_^}}\w])\{{\s*(?:\d|{_NAME}_{_NAME}|[a-z]{{3,}}(?:_[a-z]+)*)\s*\}}(?!\$)|\$\{{\s*[A-Za-z]\w*[A-Za-z_]\w+\s*\}}|%\({_NAME}\)[sdf]?|%[A-Z][A-Z_]{{2,}}%|"
     rf"@@\s*{_NAME}\s*@@|(?<!\w)#{_NAME}#|__{_NAME}__|«\s*{_NAME}\s*»|‹\s*{_NAME}\s*›|(?<![\w:]):[A-Za-z]+_[A-Za-z_]+:|<%.{{1,60}}?%>|\{{%.{{1,60}}?%\}}|\([^()\n]{{1,40}} to be (?:added|inserted|completed|filled in|written|supplied)\)|<\?.{{1,60}}?\?>|<<\s*{_NAME}\s*>>|"
     rf"<(?:your|insert|enter|add)\b[^<>\n]{{1,40}}>|<(?:[A-Z][A-Z_ ]{{2,}}|[a-z]+_[a-z_]+|[A-Z][a-z]+(?:_[A-Za-z]+)+|DOI|doi)>|"
-    rf"\[(?:insert|todo|tbd|tbc|fixme|add|enter|your|placeholder|to be)\b[^\[\]\n]{{0,60}}\]|\[[A-Z]+(?:_[A-Z]+)+\]|\[[a-z]+(?:_[a-z]+)+\]|\[object Object\]|\[(?:DOI|TITLE|AUTHORS?|NAME|DATE|ABSTRACT|URL)\]|\$[A-Za-z]+(?:_[A-Za-z]+)+\$|\$[A-Z]{{3,}}\$|(?<![\w%])%(?:\.\d+)?[dfs](?!\w)|"
-    rf"(?<![\w.])(?:\?{{3,}}|_{{4,}}|X{{4,}}|x{{4,}}|…{{2,}}|\*{{4,}})(?![\w.])|(?<!\w)(?:TODO|FIXME|XXX)\s*:|\[\s*(?:TODO|TBD|FIXME)\s*\]",
+    rf"\[(?:insert|todo|tbd|tbc|fixme|add|enter|your|placeholder|to be)\b[^\[\]\n]{{0,60}}\]|\[[A-Z]+(?:_[A-Z]+)+\]|\[[a-z]+(?:_[a-z]+)+\]|\[object Object\]|\[(?:DOI|TITLE|AUTHORS?|NAME|DATE|ABSTRACT|URL)\]|\$[A-Za-z]+(?:_[A-Za-z]+)+\$|\[[A-Z]{{5,}}\]|\[UNIT\]|(?<![A-Za-z0-9])X{{2,}}\.X+(?![A-Za-z0-9])|\$[A-Z]{{3,}}\$|(?<![A-Za-z0-9%])%(?:\.\d+)?[dfs](?!\w)|"
+    rf"(?<![\w.])(?:\?{{3,}}|_{{4,}}|X{{4,}}|x{{4,}}|…{{2,}}|\*{{4,}})(?!\w)|(?<!\w)(?:TODO|FIXME|XXX)\s*:|\[\s*(?:TODO|TBD|FIXME)\s*\]",
 )
 _VOID = re.compile(r"(?<![\w\"'.])(?:null|NULL|None|NaN|nan|undefined|N/A|#N/A|#REF!|#VALUE!)\s*(?:%|°|℃|K\b|[kMG]?Pa\b|HV\b|[nμmc]?m\b|[mk]?[gWJA]\b|s\b|h\b|min\b|ppm\b|[mk]?V\b|at%|wt%|mm/s)")
 _FILLER = frozenset(
@@ -57,7 +57,7 @@ _MESSAGES = [
     r".{0,12}页面(?:未找到|不存在|无法)", r".{0,12}请稍后再试", r"请(?:启用|开启|打开|允许).{0,12}(?:脚本|javascript)", r".{0,16}(?:不支持|已禁用|禁用了?)(?:脚本|javascript)", r"服务器(?:错误|繁忙|内部错误)", r"(?:访问被拒绝|拒绝访问|无权访问)", r"(?:会话|登录)已(?:过期|失效)", r"此处(?:填写|输入|插入)", r"(?:占位|示例)(?:文本|文字|符)", r"在此(?:输入|填写)",
 ]
 _MESSAGE = re.compile("|".join(f"(?:{m})" for m in _MESSAGES), re.I)
-_PASSAGE = re.compile(r"\n+|(?<=[.!?…])\s+(?=[^a-z])|(?<=[。！？])")
+_PASSAGE = re.compile(r"\n+|(?<=[^.\s][.!?])\s+(?=[^a-z])|(?<=[。！？])")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]")
 _ALLOY = re.compile(r"(?:[A-Z][a-z]?\d*(?:\.\d+)?){2,}$")
 _HAN = re.compile("[一-鿿]+")
@@ -93,8 +93,8 @@ def trusted(passage: str) -> bool:
     if _SLOT.search(passage) or _VOID.search(passage) or _MESSAGE.match(passage):
         return True
     words = [w.casefold() for w in re.findall(r"[A-Za-z]+", passage)]
-    if len(words) > 3 and len(set(words)) == 1:
-        return True
+    if len(words) > 3 and (len(set(words)) == 1 or len(words) >= 8 and len(set(words)) <= 3):
+        return True  # one or two words over and over
     return len(words) > 1 and sum(w in _FILLER for w in words) >= 0.7 * len(words)
 
 
