@@ -162,7 +162,9 @@ TOKEN = "struct<i:int, kind:string, word:string>"
 
 def shaped(token: str) -> bool:
     """Whether a token has the build of a chemical formula: several capitals mixed with small letters or digits."""
-    return len(token) > 3 and len(re.findall("[A-Z]", token)) >= 2 and bool(re.search("[a-z0-9]", token)) and token[0].isalpha() and not token.isupper()
+    if token[1:].replace("I", "l").islower() and token.isalpha():
+        return False  # a word in which a small l was read as I
+    return len(token) > 3 and len(re.findall("[A-Z]", token)) >= 2 and bool(re.search("[a-z0-9]", token)) and token[0].isupper() and not token.isupper()
 
 
 def line_tokens(line: str | None) -> list[dict]:
