@@ -34,7 +34,7 @@ def current_rows(df: DataFrame, keys: dict[str, Column], fields: dict[str, Colum
     """
     packed = F.struct(*[c.alias(n) for n, c in fields.items()])
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], packed.alias("v"))
-    return df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.max(rank).alias("r")).select(*keys, *[F.col("r.v")[n].alias(n) for n in fields])
+    return df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.max(rank).alias("_rank")).select(*keys, *[F.col("_rank.v")[n].alias(n) for n in fields])
 
 
 def _hash(cols: Sequence[str], seed: int) -> Column:
@@ -116,12 +116,12 @@ def diff_tables(left: DataFrame, right: DataFrame, keys: Sequence[str], fields:
     """
     rows = unmatched_rows(left, right, keys, fields)
     value = F.struct(*fields)
-    sides = rows.groupBy(*keys).agg(*[F.max(F.when(F.col("_side") == i, value)).alias(n) for i, n in enumerate("lr")])
-    kinds = [F.when(F.col("l").isNull(), F.array(_kind(only_right))).when(F.col("r").isNull(), F.array(_kind(only_left)))]
+    sides = rows.groupBy(*keys).agg(*[F.max(F.when(F.col("_side") == i, value)).alias(f"_{n}") for i, n in enumerate("lr")])
+    kinds = [F.when(F.col("_l").isNull(), F.array(_kind(only_right))).when(F.col("_r").isNull(), F.array(_kind(only_left)))]
     fieldwise = F.filter(F.array(*[_kind(f, f) for f in fields]), lambda k: ~k["left_value"].eqNullSafe(k["right_value"]))
-    return sides.select(*keys, F.explode(kinds[0].otherwise(fieldwise)).alias("k")).select(*keys, "k.*")
+    return sides.select(*keys, F.explode(kinds[0].otherwise(fieldwise)).alias("_kind")).select(*keys, "_kind.*")
 
 
 def _kind(kind: str, field: str | None = None) -> Column:
-    side = [F.col(f"{s}.{field}") if field else F.lit(None).cast("string") for s in "lr"]
+    side = [F.col(f"_{s}.{field}") if field else F.lit(None).cast("string") for s in "lr"]
     return F.struct(F.lit(kind).alias("diff_kind"), side[0].alias("left_value"), side[1].alias("right_value"))
