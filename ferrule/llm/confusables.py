@@ -27,7 +27,7 @@ _UNSEEN = frozenset("­͏؜ᅟᅠ឴឵᠎ㅤﾠ﻿")
 
 _PROTOTYPE = {**_CYRILLIC, **_GREEK, **_SIGNS}
 _CJK = re.compile("[⺀-⿿、-ヿ㐀-鿿豈-﫿（），：；？！]")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
 
 
 def unseen(c: str) -> bool:
@@ -77,7 +77,8 @@ def _word(word: str, before: str, home: str) -> str:
         unit = before[-1:] in "°" and before != ""
         own = sure["cyrillic"] > sure["latin"] or not sure["cyrillic"] and not sure["latin"] and home == "cyrillic" and "latin" not in scripts and not unit
         if own:
-            return "".join(_FROM_LATIN.get(c, c) if s == "latin" else c for c, s in zip(word, scripts))
+            plain = [_GREEK.get(c, c) if s == "greek" else c for c, s in zip(word, scripts)]
+            return "".join(_FROM_LATIN.get(c, c) if s in ("latin", "greek") else c for c, s in zip(plain, scripts))
         word = "".join(_CYRILLIC.get(c, c) for c in word)
     if "greek" in scripts and home != "greek":
         latin = sum(_script(c) == "latin" for c in word)
@@ -111,7 +112,7 @@ def consistent(text: str | None) -> str | None:
     for m in _WORD.finditer(plain):
         done += [plain[at : m.start()], _word(m[0], plain[: m.start()], home)]
         at = m.end()
-    return "".join(done) + plain[at:]
+    return unicodedata.normalize("NFC", "".join(done) + plain[at:])
 
 
 FORM = "struct<form:string, skeleton:string>"
