@@ -193,3 +193,37 @@ def within_budget(rows: DataFrame, text: str, keys: list[str], order: list[str],
     first = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, text).orderBy(*order))).where("_r = 1")
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return first.withColumn("_t", F.coalesce(F.sum(F.length(text) + 2).over(w), F.lit(0))).where(F.col("_t") < budget).drop("_r", "_t")
+
+
+def no_empty_abstract(c: Column) -> Column:
+    """A heading 'Abstract' that stands directly before 'Keywords' is dropped."""
+    return F.regexp_replace(c, r"(?i)#*\s*abstract\s*\n+(?=#*\s*keywords?\b)", "")
+
+
+def hanging_merged(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines that hold only an affiliation's mark joined to the line before."""
+    w = Window.partitionBy(*keys).orderBy("pos")
+    mark = lambda c: F.trim(c).rlike(r"^(?:[a-z]|[0-9]{1,2}|\*|†)(?:,\s*(?:[a-z]|[0-9]{1,2}|\*|†))*,?$")
+    after, before = F.lead("line").over(w), F.lag("line").over(w)
+    joined = F.when(F.coalesce(mark(after), F.lit(False)) & ~mark(F.col("line")), F.concat(F.col("line"), F.lit(" "), F.trim(after))).otherwise(F.col("line"))
+    drop = mark(F.col("line")) & F.coalesce(~mark(before), F.lit(False))
+    return lines.withColumn("_j", joined).withColumn("_d", drop).where(~F.col("_d")).withColumn("line", F.col("_j")).drop("_j", "_d")
+
+
+def author_marks(c: Column) -> Column:
+    """Marks directly behind an author's name as superscripts."""
+    return F.regexp_replace(c, r"([a-z]{2})\s?([a-f](?:,[a-f])*|[0-9]{1,2}(?:,[0-9]{1,2})*)(,\*)?(?=,|$| and )", r"$1^{$2$3}")
+
+
+def greek_repaired(line: Column) -> Column:
+    """Greek letters that were read as Latin ones, in lines that speak of phases only."""
+    phase = F.lower(line).rlike("phase|precipitat|matrix|lath|lamell")
+    fixed = F.regexp_replace(F.regexp_replace(line, r"(^|[\s(])y('|′| phase| matrix| precipitates)", "$1γ$2"), r"(^|[\s(])a \+ ?[bß]($|[\s,.)])", "$1α+β$2")
+    return F.when(phase, fixed).otherwise(line)
+
+
+def command_subscripts(c: Column) -> Column:
+    """Numbers behind Greek commands as subscripts, but not within $...$."""
+    parts = F.split(c, r"(?=\$)|(?<=\$)")
+    dollars = F.aggregate(parts, F.struct(F.lit(0).alias("n"), F.lit("").alias("t")), lambda a, p: F.struct((a["n"] + F.when(p == "$", 1).otherwise(0)).alias("n"), F.concat(a["t"], F.when(a["n"] % 2 == 0, F.regexp_replace(p, r"(\\(?:alpha|beta|gamma|delta|sigma|lambda|mu))\s?([0-9]+)", "$1_{$2}")).otherwise(p)).alias("t")))
+    return dollars["t"]

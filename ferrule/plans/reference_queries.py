@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ferrule.functions import numbers as N
 from ferrule.functions import process as P
+from ferrule.functions import records as R
 from ferrule.functions import text as X
 from ferrule.functions.arrow import mapped
 from ferrule.operators import hooks, layout, matching, merge, restructure, scoring, tables
@@ -610,3 +611,63 @@ def doc_quality_report(s: SparkSession, d: str) -> DataFrame:
     score = F.floor(F.least(F.col("n") * 5, F.lit(40)) + F.least(F.floor(F.col("chars") / 20), F.lit(60)) - F.least(F.col("noise") * 10, F.lit(40)))
     j = j.withColumn("score", score)
     return j.groupBy("source").agg(F.count("*").alias("docs"), F.sum("score").cast("bigint").alias("score_sum"), F.count_if(F.col("score") >= 70).alias("passed"), F.count_if((F.col("score") < 70) & (F.col("score") >= 40)).alias("warned"), F.count_if(F.col("score") < 40).alias("failed"), F.count_if(F.col("n") == 0).alias("empty"))
+
+
+# Blocks of records ------------------------------------------------------------------------------------------------------
+
+
+@query
+def distinct_precipitates(s: SparkSession, d: str) -> DataFrame:
+    """Precipitates of items, each phase once."""
+    i = _items(s, d)
+    return R.distinct_precipitates(i, F.col("item.Microstructure_Info.Precipitates"), "record_no", "item_pos").select("record_no", "item_pos", "pos", "phase", "fraction")
+
+
+@query
+def microstructure_texts(s: SparkSession, d: str) -> DataFrame:
+    """The text of each microstructure by what there is."""
+    m = F.col("item.Microstructure_Info")
+    text = R.microstructure_text(m["Microstructure_Text"]["original"], m["Microstructure_Text"]["simplified"], m["Main_Phase"])
+    return _items(s, d).select("record_no", "item_pos", text.alias("text"))
+
+
+@query
+def property_entries(s: SparkSession, d: str) -> DataFrame:
+    """Tests that make entries of a property list, with default notes."""
+    t = R.property_entries(_tests(s, d, "Property_Name", "Value_Numeric", "Unit", "Data_Source"))
+    return t.select("test_id", R.default_note(F.col("Unit"), F.col("Data_Source")).alias("note"))
+
+
+@query
+def recovered_formula(s: SparkSession, d: str) -> DataFrame:
+    """The formula that a text is most likely about."""
+    return R.recovered_formula(_doc_lines(s, d), "doc_id")
+
+
+@query
+def alias_keys(s: SparkSession, d: str) -> DataFrame:
+    """Names of characterisation methods in texts."""
+    names = {"EBSD": ["electron backscatter diffraction", "ebsd"], "TEM": ["transmission electron microscopy"], "XRD": ["x-ray diffraction", "synchrotron scattering"], "APT": ["atom probe"]}
+    return _documents(s, d).where("text is not null").select("doc_id", F.array_join(R.alias_keys(F.col("text"), names), ",").alias("methods"))
+
+
+@query
+def numeric_features(s: SparkSession, d: str) -> DataFrame:
+    """Feature maps with only what bears numbers."""
+    f = F.col("item.Microstructure_Info.Advanced_Quantitative_Features")
+    return _items(s, d).where(f.isNotNull()).select("record_no", "item_pos", mapped(R.numeric_features, "string", f).alias("features"))
+
+
+@query
+def energy_densities(s: SparkSession, d: str) -> DataFrame:
+    """Energy densities named near the words."""
+    return _documents(s, d).select("doc_id", mapped(R.energy_density, "string", "text").alias("energy_density")).where("energy_density is not null")
+
+
+@query
+def front_matter(s: SparkSession, d: str) -> DataFrame:
+    """First-page repairs: hanging marks, marks of authors, gated Greek, subscripts of commands."""
+    pages = table(s, d, "paper_texts").select("text_no", X.no_empty_abstract(F.col("paper_text")).alias("t")).dropDuplicates(["text_no"])
+    lines = X.hanging_merged(X.lines_of(pages, "t", "text_no"), "text_no")
+    fixed = X.command_subscripts(X.latex(X.greek_repaired(X.author_marks(F.col("line")))))
+    return lines.groupBy("text_no").agg(F.count("*").alias("n_lines"), F.sum(F.length(fixed)).alias("n_chars"))

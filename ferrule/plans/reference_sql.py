@@ -206,3 +206,13 @@ SQL: dict[str, str] = {
       s as (select source, coalesce(n, 0) as n, least(coalesce(n, 0) * 5, 40) + least(floor(coalesce(chars, 0) / 20), 60) - least(coalesce(noise, 0) * 10, 40) as score from src left join k2 using (doc_id))
       select source, count(*) as docs, cast(sum(score) as bigint) as score_sum, count_if(score >= 70) as passed, count_if(score < 70 and score >= 40) as warned, count_if(score < 40) as failed, count_if(n = 0) as "empty" from s group by source""",
 }
+
+SQL |= {
+    "distinct_precipitates": f"""with {ITEMS}, e as (select record_no, item_pos, unnest(item."Microstructure_Info"."Precipitates") as p, generate_subscripts(item."Microstructure_Info"."Precipitates", 1) - 1 as pos from item), t as (select record_no, item_pos, pos, trim(p."Phase_Type") as phase, p."Volume_Fraction_pct" as fraction from e where p is not null),
+      r as (select *, row_number() over (partition by record_no, item_pos, lower(phase) order by pos) as r from t where phase is not null and phase <> '') select record_no, item_pos, pos, phase, fraction from r where r = 1""",
+    "microstructure_texts": f"""with {ITEMS} select record_no, item_pos, coalesce(nullif(trim(item."Microstructure_Info"."Microstructure_Text"."original"), ''), nullif(trim(item."Microstructure_Info"."Microstructure_Text"."simplified"), ''), 'Main phase: ' || nullif(trim(item."Microstructure_Info"."Main_Phase"), '')) as text from item""",
+    "property_entries": f"""with {TESTS} select test_id, case when "Data_Source" = 'image' then 'digitised from a figure' when "Unit" is null or trim("Unit") = '' then 'unit not given' end as note from tests where "Value_Numeric" is not null and not isnan("Value_Numeric") and "Property_Name" is not null and not regexp_matches(lower("Property_Name"), '(^|_| )(density|porosity|crack)')""",
+    "recovered_formula": f"""with {DOC_LINES}, w as (select doc_id, pos, regexp_split_to_array(line, '[\\s,;:()]+') as w from lines), t as (select doc_id, pos, regexp_replace(unnest(w), '\\.$', '') as t, generate_subscripts(w, 1) as i from w),
+      f as (select *, regexp_extract_all(t, '[A-Z][a-z]?') as e from t where regexp_matches(t, '^(?:[A-Z][a-z]?(?:[0-9]+(?:\\.[0-9]+)?)?)+$')), r as (select doc_id, t, row_number() over (partition by doc_id order by len(e) desc, pos, i) as r from f where len(e) >= 2 and len(list_filter(e, lambda x: x not in {_in(ELEMENTS)})) = 0) select doc_id, t as formula from r where r = 1""",
+    "alias_keys": f"""with {DOCS} select doc_id, array_to_string(list_filter([case when contains(lower(text), 'atom probe') then 'APT' end, case when contains(lower(text), 'electron backscatter diffraction') or contains(lower(text), 'ebsd') then 'EBSD' end, case when contains(lower(text), 'transmission electron microscopy') then 'TEM' end, case when contains(lower(text), 'x-ray diffraction') or contains(lower(text), 'synchrotron scattering') then 'XRD' end], lambda x: x is not null), ',') as methods from docs where text is not null""",
+}
