@@ -51,4 +51,17 @@ with recursive
 select distinct record_no, item_pos, child_kind, child_key from out
 """
 
-SQL = {"p5_found": P5, "p6_found": P6}
+P5_DIFFERENCES = P5.partition("select paper_id, \"Sample_ID\", 'only_in_samples'")[0] + "\nunion all ".join([
+    "select paper_id, \"Sample_ID\", 'only_in_samples' as diff_kind, cast(null as varchar) as left_value, cast(null as varchar) as right_value from j where rid is null",
+    "select paper_id, \"Sample_ID\", 'only_in_mirror', null, null from j where lid is null",
+    *(f"select paper_id, \"Sample_ID\", '{f}', l{i}, r{i} from j where lid is not null and rid is not null and l{i} is distinct from r{i}" for i, f in enumerate(("Role", "Alloy_Name_Raw", "Process_Category", "Main_Phase"), 1)),
+])
+
+P6_PROPERTIES = """
+with once as (select distinct on (record_no) record_no, items from papers),
+  entry as (select record_no, unnest(items) as item, generate_subscripts(items, 1) - 1 as item_pos from once where items is not null),
+  entries as (select record_no, item_pos, unnest(item."Properties_Info") as entry_, generate_subscripts(item."Properties_Info", 1) - 1 as pos from entry where item is not null)
+select distinct * from (select record_no, item_pos, pos, unnest(entry_) from entries where entry_ is not null)
+"""
+
+SQL = {"p5_found": P5, "p5_differences": P5_DIFFERENCES, "p6_found": P6, "p6_properties": P6_PROPERTIES}

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from ferrule.functions.numbers import ELEMENTS
-from ferrule.functions.process import CATEGORY_PATTERNS, CATEGORY_WORDS, PRECIPITATE_WORDS, TIERS, _word
+from ferrule.functions.process import CATEGORY_PATTERNS, CATEGORY_WORDS, PARAMETERS, PRECIPITATE_WORDS, TIERS, _word
 from ferrule.functions.process import PHASES as _PHASES
-from ferrule.functions.text import COMMON_TITLES, LATEX, NOISE_LINE, REFERENCES, AFTER_REFERENCES
+from ferrule.functions.text import AFTER_REFERENCES, COMMON_TITLES, LATEX, NOISE_LINE, REFERENCES
 from ferrule.operators.layout import NOISE_LABELS
 
 
@@ -216,3 +216,15 @@ SQL |= {
       f as (select *, regexp_extract_all(t, '[A-Z][a-z]?') as e from t where regexp_matches(t, '^(?:[A-Z][a-z]?(?:[0-9]+(?:\\.[0-9]+)?)?)+$')), r as (select doc_id, t, row_number() over (partition by doc_id order by len(e) desc, pos, i) as r from f where len(e) >= 2 and len(list_filter(e, lambda x: x not in {_in(ELEMENTS)})) = 0) select doc_id, t as formula from r where r = 1""",
     "alias_keys": f"""with {DOCS} select doc_id, array_to_string(list_filter([case when contains(lower(text), 'atom probe') then 'APT' end, case when contains(lower(text), 'electron backscatter diffraction') or contains(lower(text), 'ebsd') then 'EBSD' end, case when contains(lower(text), 'transmission electron microscopy') then 'TEM' end, case when contains(lower(text), 'x-ray diffraction') or contains(lower(text), 'synchrotron scattering') then 'XRD' end], lambda x: x is not null), ',') as methods from docs where text is not null""",
 }
+
+
+def _parameter(name: str) -> str:
+    return "coalesce(" + ", ".join(f"try_cast(nullif(regexp_extract(lower(text), {_q(p)}, 1), '') as double)" for p in PARAMETERS[name]) + ")"
+
+
+SQL |= {
+    "slug_key": """with p as (select distinct paper_id, "Paper_Metadata"."Paper_Title" as title from papers), t as (select *, trim(regexp_replace(regexp_replace(title, '[<>:"/\\\\|?*]', '', 'g'), '[_\\s]+', '_', 'g'), '_') as t from p), c as (select *, substring(t, 1, 40) as cut, 41 - strpos(reverse(substring(t, 1, 40)), '_') as last from t)
+      select paper_id, title, trim(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '-') as key, upper(trim(regexp_replace(title, '[^A-Za-z0-9]+', '_', 'g'), '_')) as slug, case when length(t) <= 40 then t when last <= 40 and last > 20 then substring(cut, 1, last - 1) else cut end as file_name,
+        trim(regexp_replace(regexp_replace(lower(paper_id), '_fixed$', ''), '[^a-z0-9]+', '-', 'g'), '-') as article from c""",
+    "key_params_text": f"with {DOCS}, v as (select doc_id, {_parameter('Laser_Power_W')} as laser_power_w, {_parameter('Layer_Thickness_um')} as layer_thickness_um, {_parameter('Oxygen_Content_ppm')} as oxygen_content_ppm from docs where text is not null) select * from v where laser_power_w is not null or layer_thickness_um is not null or oxygen_content_ppm is not null",
+}
