@@ -38,7 +38,8 @@ def key(text: str) -> str:
 
 def distance(a: str, b: str, most: int) -> int:
     """Edits (insert, delete, replace, swap of neighbours) from a to b; most + 1 where there are more."""
-    if abs(len(a) - len(b)) > most:
+    # An edit changes at most two of the letters that occur.
+    if abs(len(a) - len(b)) > most or len(set(a) ^ set(b)) > 2 * most:
         return most + 1
     before, row = [0] * (len(b) + 1), list(range(len(b) + 1))
     older = before
