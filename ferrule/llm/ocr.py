@@ -37,6 +37,7 @@ DIMENSIONS, WINDOW, MIN_COUNT = 24, 4, 3
 # Glyphs that scanners confuse, each as the strokes it is seen as.
 _STROKES = str.maketrans({**dict.fromkeys("0aoöQO", "o"), **dict.fromkeys("1lijI|!", "i"), **dict.fromkeys("tf", "t"), **dict.fromkeys("s5S", "s"), **dict.fromkeys("g9q", "g"), **dict.fromkeys("b6h8uB", "ii"), **dict.fromkeys("ec", "c"), **dict.fromkeys("z2", "z"), "d": "ci", "n": "ri", "m": "rri", "w": "vv"})
 _DIGIT_LIKE = str.maketrans({"l": "1", "I": "1", "|": "1", "O": "0", "o": "0", "S": "5", "s": "5", "B": "8", "b": "6", "Z": "2", "z": "2", "g": "9", "q": "9"})
+_AROUND = ".,;:()[]{}\"'“”*<>"
 _BREAK = "-‐‑¬=­"
 _UNIT = r"(?:%|°C|°|K|MPa|GPa|HV|nm|μm|µm|mm|h|s|min|kV|mV|kJ|J|W|mA|ppm|gf|cycles|builds|bars|times|reflections|fields|wt%|at%|mg/s|mm/s|units)"
 _ROMAN = re.compile(r"[ivxl]{1,6}$")
@@ -173,7 +174,7 @@ def line_tokens(line: str | None) -> list[dict]:
     out: list[dict] = []
     raw = (line or "").split()
     for i, token in enumerate(raw):
-        core = token.strip(".,;:()[]{}\"'“”*<>")
+        core = token.strip(_AROUND)
         if not core:
             continue
         last = i == len(raw) - 1
@@ -301,18 +302,41 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     rare = whole.where(~mapped(lambda w: w is not None and w.lower() in ordinary, "boolean", "word")).withColumn("word_", F.lower("word"))
     found = rare.join(links.withColumnRenamed("word", "word_"), "word_").select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
     # A half that isn't joined to another is a word of its own line.
-    usual_numbers = tokens.where("kind = 'n'").groupBy("word").agg(F.count("*").alias("n")).where("n >= 20").select("word")
-    numbers = tokens.where("kind = 'n'").join(usual_numbers, "word", "left_anti").select(*key, F.lit("misread").alias("noise_kind"), "word", mapped(lambda w: (w or "").translate(_DIGIT_LIKE), "string", "word").alias("meant"))
-    usual = learn_elements(tokens)
-    known_shapes = counts.where("n >= 20").select(F.col("word").alias("lw"))
-    formulas = tokens.where("kind = 'f'").withColumn("lw", F.lower("word")).where(mapped(lambda w: formula_fault(w or "", usual), "boolean", "word")).join(known_shapes, "lw", "left_anti")
-    per_shape = tokens.where("kind = 'f'").groupBy("word").agg(F.count("*").alias("n")).where("n >= 20").select("word")
-    formulas = formulas.join(per_shape, "word", "left_anti").select(*key, F.lit("misread").alias("noise_kind"), "word", F.lit(None).cast("string").alias("meant"))
+    numbers = faulty_numbers(content, tokens).select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
+    formulas = faulty_formulas(tokens, counts).select(*key, F.lit("misread").alias("noise_kind"), "word", F.lit(None).cast("string").alias("meant"))
     running = marked.where("running").select(*key, F.lit("running").alias("noise_kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("meant"))
     noise = reduce(DataFrame.unionByName, [running, hyphens, in_halves, found, numbers, formulas])
     return noise.distinct(), marked, links
 
 
+def faulty_numbers(content: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Tokens of kind n with the number ``meant``, without names that look like numbers, as the phase B2.
+
+    A name is LIKELY times as frequent as the plain number it folds to; misreads stay below it however large the corpus.
+    """
+    found = tokens.where("kind = 'n'").withColumn("meant", mapped(lambda w: (w or "").translate(_DIGIT_LIKE), "string", "word"))
+    numbers = F.transform(F.split("line", r"\s+"), lambda t: F.btrim(t, F.lit(_AROUND)))
+    plain = content.select(F.explode(numbers).alias("meant")).where(F.col("meant").rlike(r"^[-+\d.,^]*\d[-+\d.,^]*$")).groupBy("meant").agg(F.count("*").alias("m"))
+    seen = found.groupBy("word", "meant").agg(F.count("*").alias("n")).join(plain, "meant", "left")
+    return found.join(seen.where(_is_name("n", "m")).select("word"), "word", "left_anti")
+
+
+def faulty_formulas(tokens: DataFrame, counts: DataFrame) -> DataFrame:
+    """Tokens of kind f that are no formulas, without names: those LIKELY times as frequent, with the word of the same
+    letters in ``counts``, as the right formula of the same skeleton."""
+    usual = learn_elements(tokens)
+    shapes = tokens.where("kind = 'f'").groupBy("word").agg(F.count("*").alias("n"))
+    shapes = cut(shapes.withColumn("skeleton", mapped(skeleton, "string", "word")).withColumn("fault", mapped(lambda w: formula_fault(w or "", usual), "boolean", "word")))
+    right = shapes.where("not fault").groupBy("skeleton").agg(F.max("n").alias("m"))
+    words = counts.select(F.col("word").alias("lw"), F.col("n").alias("nw"))
+    seen = shapes.where("fault").withColumn("lw", F.lower("word")).join(words, "lw", "left").join(right, "skeleton", "left").withColumn("n", F.col("n") + F.coalesce("nw", F.lit(0)))
+    return tokens.where("kind = 'f'").join(seen.where(~_is_name("n", "m")).select("word"), "word")
+
+
+def _is_name(n: str, m: str) -> Column:
+    return F.col(n) >= LIKELY * F.greatest(F.coalesce(m, F.lit(0)), F.lit(1))
+
+
 def learn_elements(tokens: DataFrame, least: float = 0.004) -> frozenset[str]:
     """The symbols that make up the corpus's formulas: each at least a small share of all. At most some hundred come back."""
     symbols = tokens.where("kind = 'f'").select(F.explode(mapped(lambda w: formula_elements(w or ""), "array<string>", "word")).alias("e")).groupBy("e").count().collect()
