@@ -258,7 +258,8 @@ def skip_grams(sentences: DataFrame) -> DataFrame:
 
 
 def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(noise, marked, links): noise (table_name, row_no, line_no, noise_kind, word, meant) of all lines, each case once.
+    """(noise, marked, links): noise (table_name, row_no, line_no, noise_kind, word, meant, row2, line2) of all lines, each
+    case once; row2 and line2 say where the second half of a split word stands.
 
     Null texts have no lines; blank lines have no noise. ``marked`` holds every line with its running mark.
     """
@@ -290,7 +291,7 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     meant = F.when((z("nj") * SURE < z("nl")) & (F.col("like") != F.col("joined")), F.col("like"))
     pairs = cut(pairs.select("a", "b", split.alias("split"), F.when(split, meant).alias("meant")))
     decided = halves.withColumn("a", F.lower("first")).withColumn("b", F.lower("second")).join(pairs, ["a", "b"]).where("split")
-    hyphens = decided.select(*key, F.lit("hyphen").alias("noise_kind"), F.concat("first", F.lit("-"), "second").alias("word"), F.coalesce("meant", F.concat("first", "second")).alias("meant"))
+    hyphens = decided.select(*key, F.lit("hyphen").alias("noise_kind"), F.concat("first", F.lit("-"), "second").alias("word"), F.coalesce("meant", F.concat("first", "second")).alias("meant"), "row2", "line2")
     bad = decided.where("meant is not null").withColumn("in_second", F.col("meant").startswith(F.col("a")))
     in_halves = bad.where("not in_second").select(*key, F.lit("misread").alias("noise_kind"), F.col("first").alias("word"), "meant")
     both = bad.where("in_second or not endswith(meant, b)")
@@ -305,7 +306,7 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     numbers = faulty_numbers(content, tokens).select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
     formulas = faulty_formulas(tokens, counts).select(*key, F.lit("misread").alias("noise_kind"), "word", F.lit(None).cast("string").alias("meant"))
     running = marked.where("running").select(*key, F.lit("running").alias("noise_kind"), F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("meant"))
-    noise = reduce(DataFrame.unionByName, [running, hyphens, in_halves, found, numbers, formulas])
+    noise = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [hyphens, running, in_halves, found, numbers, formulas])
     return noise.distinct(), marked, links
 
 
@@ -370,48 +371,94 @@ def join_halves(content: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def paragraphs(noise: DataFrame, marked: DataFrame) -> DataFrame:
-    """(table_name, paper_id, page, para_no, text): the lines of each page without furniture, repaired and reflowed.
+    """(table_name, paper_id, page, para_no, text, goes_on): the lines without furniture, repaired and reflowed over pages.
 
-    Built page by page, so no paper is gathered whole; ``goes_on`` says that a paragraph continues on the next page.
+    Lines are gathered by page, then paragraphs that a page end cut are stitched along the pages in order, so no paper is
+    gathered whole. A paragraph has the page and number of its beginning; ``goes_on`` says that its end is missing.
     """
     key = ["table_name", "row_no", "line_no"]
-    fixes = noise.where("noise_kind != 'running'").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("noise_kind", "word", "meant"))).alias("fixes"))
+    faults = noise.where("noise_kind != 'running'").select(*key, "noise_kind", "word", "meant", "row2", "line2")
+    heads = marked.select("table_name", F.col("row_no").alias("row2"), F.col("line_no").alias("line2"), F.regexp_extract("line", r"^\s*(\S+)", 1).alias("head"), F.trim("line").rlike(rf"^\S+[{_BREAK}]$").alias("chained"))
+    split = faults.where("noise_kind = 'hyphen'").join(heads, ["table_name", "row2", "line2"], "left")
+    # The second half moves to the first one's line, except where it ends in the half of another word.
+    carried = split.withColumn("head", F.when(~F.col("chained"), F.col("head")))
+    taken = carried.where("head is not null").select("table_name", F.col("row2").alias("row_no"), F.col("line2").alias("line_no"), F.lit("taken").alias("noise_kind"), "word", "meant", F.lit(None).cast("string").alias("head"))
+    others = faults.where("noise_kind != 'hyphen'").select(*key, "noise_kind", "word", "meant", F.lit(None).cast("string").alias("head"))
+    all_ = others.unionByName(carried.select(*others.columns)).unionByName(taken)
+    fixes = all_.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("noise_kind", "word", "meant", "head"))).alias("fixes"))
     lines = marked.where("not running").join(fixes, key, "left")
     repaired = lines.withColumn("fixed", mapped(_repair, "string", "line", F.to_json("fixes")))
     pages = repaired.groupBy("table_name", "paper", "page").agg(F.array_sort(F.collect_list(F.struct("pos", "row_no", "line_no", "label", "fixed"))).alias("ls"))
-    kind = "array<struct<para_no:int, text:string, goes_on:boolean>>"
+    kind = "array<struct<para_no:int, text:string, goes_on:boolean, first:boolean, last:boolean, sure:boolean>>"
     flown = pages.select("table_name", F.col("paper").alias("paper_id"), "page", F.explode(each(_reflow, kind, F.to_json("ls"))).alias("p"))
-    return flown.select("table_name", "paper_id", "page", "p.*")
+    return _stitch(cut(flown.select("table_name", "paper_id", "page", "p.*")))
+
+
+def _stitch(flown: DataFrame) -> DataFrame:
+    """Paragraphs with those joined that a page's last running text leaves open and the next page's first one goes on."""
+    columns = ["table_name", "paper_id", "page", "para_no", "text", "goes_on"]
+    along = Window.partitionBy("table_name", "paper_id").orderBy("page", "para_no")
+    ends = flown.where("first or last").withColumn("before", F.lag(F.struct("page", (F.col("last") & F.col("goes_on")).alias("open"), "sure")).over(along))
+    follows = F.col("first") & F.col("before.open") & (F.col("before.page") < F.col("page")) & (F.col("before.sure") | F.col("text").rlike("^[a-z0-9(]"))
+    ends = ends.withColumn("start", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1)).withColumn("group", F.sum("start").over(along))
+    parts = ends.groupBy("table_name", "paper_id", "group").agg(F.array_sort(F.collect_list(F.struct("page", "para_no", "text", "goes_on"))).alias("ps"))
+    text = F.regexp_replace(F.regexp_replace(F.array_join("ps.text", "\n"), "(?:\x00|(?<=-))\n", ""), "\n", " ")
+    joined = parts.select("table_name", "paper_id", F.col("ps")[0]["page"].alias("page"), F.col("ps")[0]["para_no"].alias("para_no"), text.alias("text"), F.element_at("ps", -1)["goes_on"].alias("goes_on"))
+    out = flown.where("not (first or last)").select(*columns).unionByName(joined)
+    return out.withColumn("text", F.replace("text", F.lit("\x00"), F.lit("")))
 
 
 def _repair(line: str | None, fixes: str | None) -> str:
-    """A line with its misread words put right and the half at its end marked for joining."""
+    """A line with its misread words put right, the word split at its end whole, and without a half that moved to the line before."""
     import json
 
     out, found = line or "", json.loads(fixes) if fixes else []
+    cased = lambda word, meant: meant.capitalize() if word[:1].isupper() and word[1:].islower() else meant.upper() if word.isupper() else meant
+    whole = {f["meant"] for f in found if f["noise_kind"] in ("hyphen", "taken")}
+    if any(f["noise_kind"] == "taken" for f in found):
+        out = re.sub(r"^\s*\S+\s*", "", out)
     for f in found:
         word, meant = f.get("word"), f.get("meant")
-        if f["noise_kind"] == "misread" and word and meant and len(meant) - len(word) in range(-3, 3):
-            fixed = meant.capitalize() if word[:1].isupper() and word[1:].islower() else meant.upper() if word.isupper() else meant
-            out = re.sub(rf"(?<![A-Za-z0-9]){re.escape(word)}(?![A-Za-z0-9])", fixed, out)
-    if any(f["noise_kind"] == "hyphen" for f in found):
-        out = out.rstrip().rstrip(_BREAK) + "\x00"
+        if f["noise_kind"] == "misread" and word and meant and meant not in whole and len(meant) - len(word) in range(-3, 3):
+            out = re.sub(rf"(?<![A-Za-z0-9]){re.escape(word)}(?![A-Za-z0-9])", cased(word, meant), out)
+    for f in found:
+        if f["noise_kind"] == "hyphen":
+            stem = out.rstrip().rstrip(_BREAK)
+            first, second = f["word"].split("-", 1)
+            head = f.get("head")
+            if head and second in head and stem.endswith(first):
+                meant = f["meant"] if f["meant"] == first + second else cased(first, f["meant"])
+                out = stem[: len(stem) - len(first)] + meant + head[head.index(second) + len(second) :]
+            else:
+                out = stem + (head or "\x00")
     return out
 
 
+_FLOWING = (None, "text", "abstract", "content", "reference")
+
+
 def _reflow(lines: str | None) -> list[dict]:
+    """The paragraphs of a page; ``first`` and ``last`` mark those of running text that may go on over a page end, ``sure``
+    those that are running text without doubt."""
     import json
 
     out: list[dict] = []
     block, last_no = None, 0
+    closed = lambda text: bool(re.search(r"[.!?:][\"'”’)\]]*$", text))
     for x in json.loads(lines or "[]"):
         text, here = x.get("fixed", "").strip(" "), (x.get("row_no"), x.get("label"))
-        new = block is None or here[1] != block[1] or here[1] not in (None, "text") or here[0] == block[0] and x["line_no"] > last_no + 1
+        if not text:  # its only word moved to the line before
+            last_no = x["line_no"] if block == here else last_no
+            continue
+        ended = block is not None and here[0] != block[0] and closed(out[-1]["text"])
+        new = block is None or here[1] != block[1] or here[1] not in (None, "text") or ended or here[0] == block[0] and x["line_no"] > last_no + 1
         if new and not (out and out[-1]["text"].endswith("\x00")) and here != block or new and here[1] is None:
-            out.append({"text": text})
+            out.append({"text": text, "label": here[1]})
         else:
             before = out[-1]["text"]
             glue = "" if before.endswith("\x00") or before.endswith("-") else " "
             out[-1]["text"] = before.rstrip("\x00") + glue + text
         block, last_no = here, x["line_no"]
-    return [{"para_no": i, "text": o["text"].rstrip("\x00"), "goes_on": i == len(out) - 1 and not re.search(r"[.!?:]$", o["text"])} for i, o in enumerate(out)]
+    flowing = [i for i, o in enumerate(out) if o["label"] in _FLOWING]
+    ends = (flowing[0], flowing[-1]) if flowing else (-1, -1)
+    return [{"para_no": i, "text": o["text"], "goes_on": i == ends[1] and not closed(o["text"]), "first": i == ends[0], "last": i == ends[1], "sure": o["label"] is not None or o["text"].endswith("\x00") or len(o["text"].split()) >= 8} for i, o in enumerate(out)]

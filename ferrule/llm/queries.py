@@ -62,7 +62,7 @@ def p3_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_noise(spark: SparkSession, folder: str) -> DataFrame:
     """Every case of noise with the word and what was meant."""
-    return ocr.find_noise(table(spark, folder, "ocr_items"), table(spark, folder, "paper_texts"))[0]
+    return ocr.find_noise(table(spark, folder, "ocr_items"), table(spark, folder, "paper_texts"))[0].select("table_name", "row_no", "line_no", "noise_kind", "word", "meant")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -148,3 +148,24 @@ def test_noise_of_pages(spark):
     assert "The particles were small." in text and "heat-treated" in text and "Journal" not in text
     empty = ocr.find_noise(df.limit(0), texts.limit(0))
     assert empty[0].count() == 0 and ocr.paragraphs(empty[0], empty[1]).count() == 0
+
+
+def test_paragraphs_go_on_over_pages(spark):
+    line = "table_name string, row_no bigint, paper string, page bigint, pos bigint, label string, line_no int, line string, running boolean"
+    rows = [
+        ("ocr_items", 1, "p", 1, 0, "text", 1, "The alloy was cast.", False),
+        ("ocr_items", 2, "p", 1, 1, "text", 1, "Then the parti-", False),
+        ("ocr_items", 3, "p", 1, 2, "figure_title", 1, "Fig. 1 A caption", False),
+        ("ocr_items", 4, "p", 2, 0, "paragraph_title", 1, "2 Results", False),
+        ("ocr_items", 5, "p", 2, 1, "text", 1, "cles, which were", False),
+        ("ocr_items", 5, "p", 2, 1, "text", 2, "small and", False),
+        ("ocr_items", 6, "p", 3, 0, "text", 1, "round, were weighed.", False),
+        ("ocr_items", 7, "p", 3, 1, "text", 1, "A new one begins", False),
+        ("ocr_items", 8, "p", 3, 2, "text", 1, "and ends.", False),
+    ]
+    noise = spark.createDataFrame([("ocr_items", 2, 1, "hyphen", "parti-cles", "particles", 5, 1)], "table_name string, row_no bigint, line_no int, noise_kind string, word string, meant string, row2 bigint, line2 int")
+    out = ocr.paragraphs(noise, spark.createDataFrame(rows, line)).collect()
+    assert sorted((r.page, r.text) for r in out) == [
+        (1, "Fig. 1 A caption"), (1, "The alloy was cast."), (1, "Then the particles, which were small and round, were weighed."), (2, "2 Results"), (3, "A new one begins and ends."),
+    ]
+    assert not any(r.goes_on for r in out)
