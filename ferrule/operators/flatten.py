@@ -8,6 +8,7 @@ JSON texts become child tables keyed by map key or leaf path.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -79,8 +80,25 @@ def array_levels(schema: T.StructType, prefix: str = "") -> list[str]:
     return found
 
 
+def map_levels(schema: T.StructType, prefix: str = "") -> list[str]:
+    """Paths of all maps of a schema, those inside arrays of structs included."""
+    found = []
+    for f in schema.fields:
+        kind, path = f.dataType, f"{prefix}{f.name}"
+        if isinstance(kind, T.ArrayType):
+            kind, path = kind.elementType, path + "[]"
+        if isinstance(kind, T.StructType):
+            found += map_levels(kind, path + ".")
+        elif isinstance(kind, T.MapType) and not path.endswith("[]"):
+            found.append(path)
+    return found
+
+
 def _has(schema: T.DataType, path: str) -> bool:
     for part in path.split("."):
+        if part.endswith("[]") and isinstance(schema, T.StructType) and part[:-2] in schema.names:
+            schema = schema[part[:-2]].dataType.elementType
+            continue
         if not isinstance(schema, T.StructType) or part not in schema.names:
             return False
         schema = schema[part].dataType
@@ -95,58 +113,75 @@ class RecordTables:
     """
 
     KEYS = ("record_no", "item_pos")
+    # What the child tables are called, by path; and the paths that hold JSON text, which no schema shows.
+    NAMES = {"Properties_Info": "property", "Microstructure_Info.Precipitates": "precipitate", "Composition_Info.Nominal_Composition.Elements_Normalized": "nominal_element", "Composition_Info.Measured_Composition.Elements_Normalized": "measured_element"}
+    TEXTS = {"Process_Info.Key_Params": "param", "Microstructure_Info.Advanced_Quantitative_Features": "feature"}
 
     def __init__(self, papers: DataFrame) -> None:
         self.items = children(papers, F.col("items"), ["record_no"], "item_pos", "item")
         self.schema = self.items.schema["item"].dataType
 
-    def _sub(self, path: str) -> Column | None:
-        return F.col(f"item.{path}") if _has(self.schema, path) else None
+    def _entries(self, path: str) -> tuple[DataFrame, list[str], Column | None]:
+        """(rows, keys, column) of a path, with the arrays around it exploded level by level; no column where the schema lacks it."""
+        if not _has(self.schema, path):
+            return self.items, [*self.KEYS], None
+        df, keys, at = self.items, [*self.KEYS], "item"
+        *outer, last = path.split("[].")
+        for k, part in enumerate(outer):
+            df = children(df, F.col(f"{at}.{part}"), keys, f"pos_{k}", f"entry_{k}")
+            keys, at = [*keys, f"pos_{k}"], f"entry_{k}"
+        return df, keys, F.col(f"{at}.{last}")
 
     def item(self) -> DataFrame:
-        """Scalars of each item."""
-        flat = []
-        for f in self.schema.fields:
-            if isinstance(f.dataType, T.StructType):
-                flat += [F.col(f"item.{f.name}.{g.name}").alias(f"{f.name}_{g.name}") for g in f.dataType.fields if isinstance(g.dataType, T.AtomicType)]
-            elif isinstance(f.dataType, T.AtomicType):
-                flat.append(F.col(f"item.{f.name}"))
-        return self.items.select(*self.KEYS, *flat)
+        """Scalars and lists of scalars of each item, of all structs inside it."""
+
+        def flat(schema: T.StructType, at: str, name: str) -> list[Column]:
+            out = []
+            for f in schema.fields:
+                if isinstance(f.dataType, T.StructType):
+                    out += flat(f.dataType, f"{at}.{f.name}", f"{name}{f.name}_")
+                elif isinstance(f.dataType, T.AtomicType) or isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.AtomicType):
+                    out.append(F.col(f"{at}.{f.name}").alias(f"{name}{f.name}"))
+            return out
+
+        return self.items.select(*self.KEYS, *flat(self.schema, "item", ""))
 
     def listed(self, path: str) -> DataFrame:
-        """An array level: its entries' fields with their ordinal ``pos``."""
-        if (array := self._sub(path)) is None:
-            return self.items.select(*self.KEYS, F.lit(0).alias("pos")).where(F.lit(False))
-        rows = children(self.items, array, [*self.KEYS], "pos", "e")
-        return rows.select(*self.KEYS, "pos", "e.*")
+        """An array level: its entries' fields with their ordinal ``pos``, after those of the arrays around it."""
+        df, keys, array = self._entries(path)
+        if array is None:
+            return df.select(*keys, F.lit(0).alias("pos")).where(F.lit(False))
+        return children(df, array, keys, "pos", "e").select(*keys, "pos", "e.*")
 
     def mapped(self, path: str) -> DataFrame:
         """A map: one row (key, value) for each key whose value is not null."""
-        if (m := self._sub(path)) is None:
-            return self.items.select(*self.KEYS, F.lit("").alias("key"), F.lit(0.0).alias("value")).where(F.lit(False))
-        return self.items.select(*self.KEYS, F.explode(m).alias("key", "value")).where(F.col("value").isNotNull())
+        df, keys, m = self._entries(path)
+        if m is None:
+            return df.select(*keys, F.lit("").alias("key"), F.lit(0.0).alias("value")).where(F.lit(False))
+        return df.select(*keys, F.explode(m).alias("key", "value")).where(F.col("value").isNotNull())
 
     def leaves(self, path: str) -> DataFrame:
         """A JSON text: one row (path, kind, value) for each leaf that is not null."""
-        if (text := self._sub(path)) is None:
-            return self.items.select(*self.KEYS, F.lit("").alias("path"), F.lit("").alias("kind"), F.lit("").alias("value")).where(F.lit(False))
-        found = self.items.where(text.isNotNull()).select(*self.KEYS, F.explode(json_leaves(text)).alias("l"))
-        return found.select(*self.KEYS, "l.*")
+        df, keys, text = self._entries(path)
+        if text is None:
+            return df.select(*keys, F.lit("").alias("path"), F.lit("").alias("kind"), F.lit("").alias("value")).where(F.lit(False))
+        found = df.where(text.isNotNull()).select(*keys, F.explode(json_leaves(text)).alias("l"))
+        return found.select(*keys, "l.*")
+
+    def tables(self) -> dict[str, tuple[DataFrame, str]]:
+        """The flat tables by child kind, each with the column of its last key: every array level and map that the schema
+        has, under its path where it has no name in :attr:`NAMES`, and the JSON texts of :attr:`TEXTS`."""
+        out = {"item": (self.item(), "")}
+        out |= {self.NAMES.get(p, p): (self.listed(p), "pos") for p in array_levels(self.schema)}
+        out |= {self.NAMES.get(p, p): (self.mapped(p), "key") for p in map_levels(self.schema)}
+        return out | {kind: (self.leaves(p), "path") for p, kind in self.TEXTS.items()}
 
     def rows(self) -> DataFrame:
         """Every flat row once: (record_no, item_pos, child_kind, child_key)."""
-        micro, comp = "Microstructure_Info", "Composition_Info"
-        parts = [
-            (self.items, "item", F.lit("")),
-            (self.listed("Properties_Info"), "property", F.col("pos").cast("string")),
-            (self.listed(f"{micro}.Precipitates"), "precipitate", F.col("pos").cast("string")),
-            (self.mapped(f"{comp}.Nominal_Composition.Elements_Normalized"), "nominal_element", F.col("key")),
-            (self.mapped(f"{comp}.Measured_Composition.Elements_Normalized"), "measured_element", F.col("key")),
-            (self.leaves("Process_Info.Key_Params"), "param", F.col("path")),
-            (self.leaves(f"{micro}.Advanced_Quantitative_Features"), "feature", F.col("path")),
-        ]
         out: DataFrame | None = None
-        for df, kind, key in parts:
-            part = df.select(*self.KEYS, F.lit(kind).alias("child_kind"), key.alias("child_key"))
+        for kind, (df, key) in self.tables().items():
+            outer = [c for c in df.columns[len(self.KEYS) :] if re.fullmatch(r"pos_\d+", c)]
+            parts = [F.col(c).cast("string") for c in ([*outer, key] if key else [])]
+            part = df.select(*self.KEYS, F.lit(kind).alias("child_kind"), F.concat_ws("/", *parts).alias("child_key"))
             out = part if out is None else out.unionByName(part)
         return out.distinct()

@@ -57,6 +57,33 @@ def p6_properties(spark: SparkSession, folder: str) -> DataFrame:
     return RecordTables(table(spark, folder, "papers")).listed("Properties_Info").distinct()
 
 
+def p6_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of items with their scalars."""
+    return RecordTables(table(spark, folder, "papers")).item().distinct()
+
+
+def p6_elements(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of elements, nominal and measured."""
+    t = RecordTables(table(spark, folder, "papers"))
+    parts = [t.mapped(f"Composition_Info.{c}_Composition.Elements_Normalized").withColumn("composition", F.lit(c.lower())) for c in ("Nominal", "Measured")]
+    return parts[0].unionByName(parts[1]).distinct()
+
+
+def p6_parameters(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of process parameters, a row for each leaf."""
+    return RecordTables(table(spark, folder, "papers")).leaves("Process_Info.Key_Params").distinct()
+
+
+def p6_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of quantitative features, a row for each leaf."""
+    return RecordTables(table(spark, folder, "papers")).leaves("Microstructure_Info.Advanced_Quantitative_Features").distinct()
+
+
+def p6_precipitates(spark: SparkSession, folder: str) -> DataFrame:
+    """The flat table of precipitates."""
+    return RecordTables(table(spark, folder, "papers")).listed("Microstructure_Info.Precipitates").distinct()
+
+
 def _units(spark: SparkSession, folder: str):
     lexicon, units = reference(table(spark, folder, "canon_terms"), table(spark, folder, "unit_codes"))
     columns = ["test_id", "Property_Name", "Unit", "Value_Numeric", "Test_Temperature_K", "Test_Condition", "Note", "Value_Range"]
@@ -74,4 +101,4 @@ def p4_values(spark: SparkSession, folder: str) -> DataFrame:
     return _units(spark, folder)[0].select(*columns).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_values, p5_found, p5_differences, p6_found, p6_properties)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_values, p5_found, p5_differences, p6_found, p6_items, p6_elements, p6_parameters, p6_features, p6_precipitates, p6_properties)}

@@ -25,3 +25,27 @@ def test_leaves():
 def test_merged_schema(spark, rows):
     df = spark.createDataFrame([('{"a": [1, "x"]}',), ('{"a": [2], "b": true}',), (None,)], "j string")
     assert rows(merged_schema(df, "j")) == [("a[]", "number", 2), ("a[]", "string", 1), ("b", "boolean", 1)]
+
+
+def test_every_level_of_the_schema_has_a_table(spark, rows):
+    schema = "record_no bigint, items array<struct<A:struct<B:struct<x:int>>, Steps:array<struct<Name:string, Holds:array<struct<t:int>>, Gas:map<string,int>>>>>"
+    df = spark.createDataFrame([(1, [((((5,),)), [None, ("s", [None, (7,)], {"Ar": 1, "N": None})])])], schema)
+    t = RecordTables(df)
+    assert rows(t.rows()) == sorted([(1, 0, "item", ""), (1, 0, "Steps", "1"), (1, 0, "Steps[].Holds", "1/1"), (1, 0, "Steps[].Gas", "1/Ar")], key=repr)
+    assert rows(t.item()) == [(1, 0, 5)] and rows(t.listed("Steps[].Holds")) == [(1, 0, 1, 1, 7)]
+
+
+def test_flat_tables_hold_their_fields(spark):
+    from pathlib import Path
+
+    import pytest
+
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.001"
+    if not Path(folder).exists():
+        pytest.skip("no test data")
+    n = {k: r for k, r in entry.queries()["p6_found"](spark, folder).groupBy("child_kind").count().collect()}
+    for name, kinds in {"items": ["item"], "elements": ["nominal_element", "measured_element"], "parameters": ["param"], "features": ["feature"], "precipitates": ["precipitate"], "properties": ["property"]}.items():
+        df = entry.queries()[f"p6_{name}"](spark, folder)
+        assert df.count() == sum(n[k] for k in kinds) and len(df.columns) > 3
