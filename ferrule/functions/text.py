@@ -159,9 +159,24 @@ def title_guess(lines: DataFrame, *keys: str) -> DataFrame:
     return ranked.groupBy(*keys).agg(F.max_by("t", F.struct(F.length("t"), -F.col("pos"))).alias("title"))
 
 
-def simplified(c: Column, chunks: int = 5, most: int = 700) -> Column:
-    """The first sentences of a text, cut at a length."""
-    return F.substring(F.array_join(F.slice(F.split(squeeze(c), r"(?<=[.!?]) "), 1, chunks), " "), 1, most)
+def text_tracks(c: Column) -> Column:
+    """(original, simplified) of a text: as it says where it gives both, else the whole text up to 500 characters or two
+    chunks, else its first five chunks, cut at 700 characters. Null and blank texts are 'not provided'."""
+    strip = lambda t: F.regexp_replace(t, r"(?U)^\s+|\s+$", "")
+    given = lambda t, other: F.coalesce(F.nullif(t, F.lit("")), other)
+    original = given(strip(c), F.lit("not provided"))
+    both = r"(?isuU)original\s*:\s*(.*?)\s*(?:\|\||\n|;\s*)\s*simplified\s*:\s*(.+)$"
+    named = given(strip(F.regexp_extract(original, both, 1)), F.lit("not provided"))
+    explicit = F.struct(named.alias("original"), given(strip(F.regexp_extract(original, both, 2)), named).alias("simplified"))
+    chunks = F.filter(F.transform(F.split(original, r"(?U)[;\n]+|(?<=\.)\s+"), strip), lambda t: t != "")
+    short = F.when((F.size(chunks) <= 2) | (F.length(original) <= 500), original).otherwise(F.array_join(F.slice(chunks, 1, 5), " "))
+    cut = F.when(F.length(short) > 700, F.concat(F.regexp_replace(F.substring(short, 1, 697), r"(?U)\s+$", ""), F.lit("..."))).otherwise(short)
+    return F.when(original.rlike(both), explicit).otherwise(F.struct(original.alias("original"), cut.alias("simplified")))
+
+
+def simplified(c: Column) -> Column:
+    """The simplified track of a text."""
+    return text_tracks(c)["simplified"]
 
 
 def text_key(c: Column) -> Column:

@@ -143,10 +143,16 @@ def doi_metadata(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def simplify_text(s: SparkSession, d: str) -> DataFrame:
-    """The first sentences."""
+    """The first 700 characters, as its SQL has them; the rule of T33 and T46 is in ``text_tracks``."""
     return _documents(s, d).where("text is not null").select("doc_id", F.substring(X.squeeze(F.col("text")), 1, 700).alias("simplified"))
 
 
+@query
+def text_tracks(s: SparkSession, d: str) -> DataFrame:
+    """Each text with its simplified form."""
+    return _documents(s, d).withColumn("t", X.text_tracks(F.col("text"))).select("doc_id", "t.*")
+
+
 @query
 def slug_key(s: SparkSession, d: str) -> DataFrame:
     """Keys and file names of papers."""

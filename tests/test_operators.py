@@ -141,3 +141,15 @@ def test_corpus_and_streaming(spark, tmp_path, rows):
         q = incremental.upsert_latest(incremental.new_rows(spark, str(tmp_path / "s"), "k int, o int, v string"), str(tmp_path / "t"), ["k"], ["o"], str(tmp_path / "c"))
         q.awaitTermination(120)
     assert rows(spark.read.parquet(str(tmp_path / "t" / "v=1")).select("k", "v")) == [(1, "c"), (2, "d")]
+
+
+def test_text_tracks(spark):
+    from ferrule.functions import text
+
+    tracks = lambda t: tuple(spark.range(1).select(text.text_tracks(F.lit(t).cast("string")).alias("t")).first().t)
+    sentence = "The alloy was held at 900 K for two hours in a vacuum furnace and then cooled in flowing argon gas. "
+    assert tracks(None) == tracks(" \n") == ("not provided", "not provided")
+    assert tracks(" Short; text.\nEnd. ") == ("Short; text.\nEnd.",) * 2
+    assert tracks(sentence * 7)[1] == (sentence * 5).strip() and tracks("x" * 800)[1] == "x" * 697 + "..."
+    assert tracks(("a" * 200 + ";") * 7)[1] == " ".join(["a" * 200] * 5)[:697] + "..."
+    assert tracks("Original: long text || Simplified: short") == ("long text", "short")
