@@ -58,18 +58,22 @@ def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(p[j]) - 1, j - 1) for j in range(1, m + 1) if p[j])
 
 
-def optimal(costs: DataFrame, group: str, gold_id: str, found_id: str, unmatched: float) -> DataFrame:
+def optimal(costs: DataFrame, group: str, gold_id: str, found_id: str, unmatched: float, gold_alone: str | None = None, found_alone: str | None = None) -> DataFrame:
     """(group, gold_id, found_id, cost): the assignment of least total cost in each group; a pair dearer than leaving both
-    unmatched is not made. Ties go to lower ids. A group is one article, so it is bounded by what an article holds."""
+    unmatched is not made. What leaving one costs is ``unmatched``, or stands in the columns ``gold_alone`` and
+    ``found_alone``. Ties go to lower ids. A group is one article, so it is bounded by what an article holds."""
     kinds = dict(costs.dtypes)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         rows, cols = sorted(pdf[gold_id].unique()), sorted(pdf[found_id].unique())
-        c = np.full((len(rows), len(cols)), 2 * unmatched)
+        alone = (pdf[gold_alone] if gold_alone else unmatched) + (pdf[found_alone] if found_alone else unmatched)
+        saved = np.zeros((len(rows), len(cols)))
+        cost: dict[tuple[int, int], float] = {}
         r, k = {x: i for i, x in enumerate(rows)}, {x: i for i, x in enumerate(cols)}
-        for g, f, x in zip(pdf[gold_id], pdf[found_id], pdf["cost"]):
-            c[r[g], k[f]] = min(x, 2 * unmatched)
-        made = [(rows[i], cols[j], c[i, j]) for i, j in assignment(c) if c[i, j] < 2 * unmatched]
+        for g, f, x, spared in zip(pdf[gold_id], pdf[found_id], pdf["cost"], pdf["cost"] - alone):
+            saved[r[g], k[f]] = min(spared, 0.0)
+            cost[r[g], k[f]] = x
+        made = [(rows[i], cols[j], cost[i, j]) for i, j in assignment(saved - saved.min()) if saved[i, j] < 0]
         return pd.DataFrame({group: [pdf[group].iloc[0]] * len(made), gold_id: [x[0] for x in made], found_id: [x[1] for x in made], "cost": [x[2] for x in made]})
 
     return costs.groupBy(group).applyInPandas(solve, f"`{group}` {kinds[group]}, `{gold_id}` {kinds[gold_id]}, `{found_id}` {kinds[found_id]}, cost double")

@@ -445,7 +445,7 @@ def _sides(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def pair_cost(s: SparkSession, d: str) -> DataFrame:
-    """Costs of pairs of compositions (V4 to V6)."""
+    """Costs of pairs of compositions (V4)."""
     c = matching.composition_costs(*_sides(s, d), "record_no", "gold_pos", "found_pos")
     return c.select("record_no", "gold_pos", "found_pos", F.round("cost", 3).alias("cost"))
 
@@ -459,9 +459,15 @@ def mutual_best_match(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def optimal_match(s: SparkSession, d: str) -> DataFrame:
-    """The assignment of least cost in each record."""
-    c = matching.composition_costs(*_sides(s, d), "record_no", "gold_pos", "found_pos")
-    return matching.optimal(c, "record_no", "gold_pos", "found_pos", matching.UNMATCHED)
+    """The assignment of least cost in each record; an item left alone costs by its elements and tests."""
+    gold, found = _sides(s, d)
+    c = matching.composition_costs(gold, found, "record_no", "gold_pos", "found_pos")
+    tests = _items(s, d).select("record_no", F.col("item_pos").alias("pos"), F.coalesce(F.size(F.filter("item.Properties_Info", lambda t: t.isNotNull())), F.lit(0)).alias("n_tests"))
+    for side, pos, name in ((gold, "gold_pos", "gold_alone"), (found, "found_pos", "found_alone")):
+        n = side.groupBy("record_no", pos).agg(F.count("*").alias("n")).join(tests.withColumnRenamed("pos", pos), ["record_no", pos])
+        alone = F.col("n") * matching.UNMATCHED_ELEMENT + F.greatest("n_tests", F.lit(0)) * matching.UNMATCHED_TEST + matching.UNMATCHED
+        c = c.join(n.select("record_no", pos, alone.alias(name)), ["record_no", pos])
+    return matching.optimal(c, "record_no", "gold_pos", "found_pos", matching.UNMATCHED, "gold_alone", "found_alone")
 
 
 @query

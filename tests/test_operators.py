@@ -153,3 +153,9 @@ def test_text_tracks(spark):
     assert tracks(sentence * 7)[1] == (sentence * 5).strip() and tracks("x" * 800)[1] == "x" * 697 + "..."
     assert tracks(("a" * 200 + ";") * 7)[1] == " ".join(["a" * 200] * 5)[:697] + "..."
     assert tracks("Original: long text || Simplified: short") == ("long text", "short")
+
+
+def test_optimal_weighs_what_is_left_alone(spark, rows):
+    costs = spark.createDataFrame([(1, 0, 0, 900.0, 900.0, 900.0), (1, 0, 1, 1850.0, 900.0, 900.0), (2, 0, 0, 1801.0, 900.0, 900.0)], "g int, a int, b int, cost double, ga double, fa double")
+    assert rows(matching.optimal(costs, "g", "a", "b", 300.0)) == []
+    assert rows(matching.optimal(costs, "g", "a", "b", 300.0, "ga", "fa")) == [(1, 0, 0, 900.0)]
