@@ -77,23 +77,48 @@ def test_mix_reaches_shares_within_repeats(spark):
 # Residue -----------------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("text", ["The value of {{ name }} is given.", "Hardness | %(load)s", "See [TODO: unit].", "Heating to NaN °C leads", "Lorem ipsum dolor sit amet.", "Please enable JavaScript to view this.", "404 Not Found", "Access denied.", "请稍后再试。", "bla bla bla bla", "Density = ???"])
-def test_beyond_doubt(text):
-    assert residue.trusted(text)
+def _trusted(text):
+    codes = residue.encode([text], residue.Chunks())[0]
+    return bool((codes == residue.END_TRUSTED).any())
 
 
-@pytest.mark.parametrize("text", ["on {111} planes along [001]", "x in {0, 0.5, 1}", "${C}_{11}$ was 248 GPa", "an undefined yield point", "None of the bars failed", 'answered with a "page not found" message', "Density: n/a", "A script is required to convert the maps.", "Yield strength .... 5 MPa", "", "the {Si, B} set"])
-def test_no_case(text):
-    assert not residue.trusted(text)
+@pytest.mark.parametrize("text", ["The value of {{ name }} is given.", "Hardness | %(load)s", "See [TODO: unit].", "Heating to NaN °C leads", "Lorem ipsum dolor sit amet.", "Please enable JavaScript to view this.", "404 Not Found", "Access denied.", "请稍后再试。", "bla bla bla bla"])
+def test_trusted_signs(text):
+    assert _trusted(text) and _trusted("A line before.\n" + text + "\nand one after")
 
 
-def test_detect_learns_and_handles_odd_rows(spark, rows):
-    good = [(i, f"The alloy was heated to {i} K and then cooled in air. Slip was seen on {{111}} planes.") for i in range(300)]
-    bad = [(1000 + i, f"The alloy was heated to {i} K. Please enable JavaScript to view this article.") for i in range(20)]
+@pytest.mark.parametrize("text", ["on {111} planes along [001]", "x in {0, 0.5, 1}", "${C}_{11}$ was 248 GPa", "an undefined yield point", "None of the bars failed", 'answered with a "page not found" message', "Density: n/a", "A script is required to convert the maps.", "Yield strength .... 5 MPa", "", "the {Si, B} set", None, " \n ", "\x02"])
+def test_no_sign(text):
+    assert not _trusted(text)
+
+
+def test_passages_are_cut_at_lines_and_sentences():
+    texts = ["One two. Three four! 5 is, e.g. that. and so on\n\nlast", None, "", "第一句。第二句", "a\x02b"]
+    codes = residue.encode(texts, residue.Chunks())
+    assert [int((c < 0).sum()) for c in codes] == [4, 0, 0, 2, 1]
+    alone = [residue.encode([t], residue.Chunks())[0] for t in texts]
+    assert all((a == b).all() for a, b in zip(codes, alone))
+    ps = residue.Passages(codes)
+    assert list(ps.text) == [0, 0, 0, 0, 3, 3, 4] and len(residue.Passages([]).ends) == 0
+    # counts of all passages are the counts of each
+    one = sum(ps.counts(np.eye(len(ps.ends))[i]) for i in range(len(ps.ends)))
+    assert np.allclose(one, ps.counts(np.ones(len(ps.ends))))
+
+
+def test_detect_learns_what_the_signs_do_not_show(spark, rows):
+    good = [(i, f"The alloy was heated to {i} K and then cooled in air. Slip was seen on {{111}} planes. No. {i} was a good sample of the cast.") for i in range(600)]
+    slots = ["alloy_name", "title", "paper_title", "load"]
+    bad = [(1000 + i, f"The alloy was heated to {i} K. Please enable JavaScript to view this article.\nReturn to the start page of the archive.") for i in range(20)]
+    bad += [(1100 + i, f"The alloy was heated to {{{{{slots[i % 4]}}}}} K and cooled.\nHardness | {{{{{slots[i % 3]}}}}}") for i in range(40)]
+    unsigned = [(1200, "Could you turn on JavaScript to view this article?"), (1201, "Hardness | {%alloy_name%}"), (1202, "You have to let it run: JavaScript to view this article.")]
     odd = [(2000, None), (2001, ""), (2002, "  \n "), (2003, "word " * 20_000), good[0]]
-    df = spark.createDataFrame(good + bad + odd, "doc_id bigint, text string").selectExpr("*", "'clash' as seed", "1 as n")
-    found = residue.detect(df).where("n_residue > 0").select("doc_id").distinct()
-    assert {r[0] for r in rows(found)} == {1000 + i for i in range(20)} | {2003}
+    df = spark.createDataFrame(good + bad + unsigned + odd, "doc_id bigint, text string").selectExpr("*", "'clash' as codes", "1 as n")
+    scored = residue.detect(df)
+    assert scored.count() == df.count()
+    found = {r[0] for r in rows(scored.where("n_residue > 0").select("doc_id").distinct())}
+    signed = {i for i, t in good + bad + unsigned + odd if _trusted(t)}
+    assert found >= {i for i, _ in bad} | {2003} and not found & {i for i, _ in good}
+    assert {1200, 1201} <= found - signed, "the classifier adds records without a sign"
     assert residue.detect(df.limit(0)).count() == 0
 
 
