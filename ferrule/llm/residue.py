@@ -28,12 +28,15 @@ BUCKETS = 1 << 20
 #: Rounds of expectation and maximization after the first estimate. More rounds drift from residue to what stands beside it.
 ROUNDS = 1
 #: Weight of the background in either class: as a share of the class, and in occurrences of a feature.
-BACKGROUND, SMOOTHING = 1.0, 2.0
+BACKGROUND, SMOOTHING = 2.0, 2.0
 #: Tokens of the window by which a passage is judged, ideographs counting half; and how much less its features count for
 #: each token, as they depend on each other.
-WINDOW, DEPENDENCE = 10, 0.1
+WINDOW, DEPENDENCE = 10, 0.05
+#: How much more frequent in residue a feature must be to speak for it, as a logarithm: many features that are a little
+#: more frequent, as all of a sentence that holds a slot once in a while, say nothing.
+TELLING = 1.0
 #: Log odds by which the expectation is held back, and from which a passage counts as residue.
-HELD_BACK, LEAST = 5.0, 2.0
+HELD_BACK, LEAST = 5.0, 1.0
 
 # Signs of residue beyond doubt, each with the pieces of words without which it can't be there. Template
 # slots of common syntaxes, printers' filler, and messages of the HTTP standard and of browsers.
@@ -48,7 +51,7 @@ TRUSTED: dict[str, tuple[tuple[str, ...], str]] = {
     "filler": (("placeholder", "dummy", "blindtext", "copy", "goes"), r"\b(?:placeholder|dummy) (?:text|paragraph)|^blindtext|^(?:body )?(?:copy|text) (?:to follow|goes here)"),
     "same": (("xxxx", "____", "????"), r"(?<![\w.?])(?:x{4,}|_{4,}|\?{4,})(?!\w)"),
     "void": (("nan", "undefined", "null", "none"), r"(?<![\w\"'.])(?:nan|undefined|null|none) (?:%|°c|k\b|[mg]pa\b|hv\b|[nμm]?m\b|ppm\b|h\b)"),
-    "http": (("found", "forbidden", "unavailable", "gateway", "gone", "error", "denied", "[4", "[5", "requests"), r"^\[[45]\d\d\]|^too many requests|^(?:the )?service is (?:\w+ )?unavailable|^(?:error )?(?:4\d\d|5\d\d)\W{1,3}(?:page )?(?:not found|forbidden|service unavailable|bad gateway|gone|internal server error)|^access denied\W*$|^page not found\W*$"),
+    "http": (("found", "forbidden", "unavailable", "gateway", "gone", "error", "denied", "[4", "[5", "requests", "available"), r"^this (?:document|page|article|file) is no longer available|^\[[45]\d\d\]|^too many requests|^(?:the )?service is (?:\w+ )?unavailable|^(?:error )?(?:4\d\d|5\d\d)\W{1,3}(?:page )?(?:not found|forbidden|service unavailable|bad gateway|gone|internal server error)|^access denied\W*$|^page not found\W*$"),
     "trace": (("traceback",), r"^traceback \(most recent call last\)"),
     "script": (("script", "scripts", "scripting", "javascript", "skripte"), r"\b(?:enable|allow|requires?|needs?|without) (?:javascript|scripts?|scripting)\b|(?:javascript|scripting) is (?:disabled|required|switched off)|(?:java)?script aktivieren|aktivieren sie (?:java)?script|skripte zugelassen"),
     "browser": (("browser",), r"^checking your browser|your browser (?:is blocking|does not support)"),
@@ -366,6 +369,7 @@ def estimate(n: np.ndarray, pos: np.ndarray) -> Model:
     share = (f + SMOOTHING) / whole
     mixed = lambda x, size: np.log(x + BACKGROUND * held * share + SMOOTHING * size / whole) - np.log(size + BACKGROUND * held)
     ratio = np.where(f > 0, mixed(g, held) - mixed(f - g, rest), 0.0)
+    ratio = np.where(ratio > 0, np.maximum(ratio - TELLING, 0), ratio)
     return Model(ratio, np.log((pos[BUCKETS] + 0.5) / (n[BUCKETS] - pos[BUCKETS] + 0.5)))
 
 
