@@ -277,7 +277,7 @@ class Passages:
         far = np.flatnonzero(marked | _before(marked, 1) & (at > 0) | _before(marked, 2) & (at > 1))
         f1, f2 = np.where(at[far] < 1, 0, form[far - 1]), np.where(at[far] < 2, 0, form[far - 2])
         g1 = np.where(at[near] < 1, 0, form[near - 1])
-        repeats = np.flatnonzero(again)
+        repeats = np.flatnonzero(again & (at < 2 * WINDOW))  # a passage that goes on for ever counts no more than another
         self.sparse = [(near, _hash(g1 + 4096, form[near])), (far, _hash(f2 + 8192, f1, form[far])), (repeats, np.full(len(repeats), REPEAT)), (self.ends, _hash(whole, self.sizes))]
         # The window that ends at each token; a shorter passage is one window.
         width = np.where((kind & _SIGN) > 0, 2 * WINDOW + 4, WINDOW)

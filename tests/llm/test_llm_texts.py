@@ -106,7 +106,7 @@ def test_passages_are_cut_at_lines_and_sentences():
 
 
 def test_detect_learns_what_the_signs_do_not_show(spark, rows):
-    good = [(i, f"The alloy was heated to {i} K and then cooled in air. Slip was seen on {{111}} planes. No. {i} was a good sample of the cast.") for i in range(600)]
+    good = [(i, f"The alloy was heated to {i} K and then cooled in air. Slip was seen on {{111}} planes. No. {i} was a good sample of the cast. " * 10) for i in range(800)]
     slots = ["alloy_name", "title", "paper_title", "load"]
     bad = [(1000 + i, f"The alloy was heated to {i} K. Please enable JavaScript to view this article.\nReturn to the start page of the archive.") for i in range(20)]
     bad += [(1100 + i, f"The alloy was heated to {{{{{slots[i % 4]}}}}} K and cooled.\nHardness | {{{{{slots[i % 3]}}}}}") for i in range(40)]
