@@ -8,10 +8,15 @@ on the corpus say whether the two stand in like contexts where the counts alone
 
 from __future__ import annotations
 
+import hashlib
 import re
-from functools import reduce
+import zlib
+from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache, reduce
 
-from pyspark.ml.feature import Word2Vec
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +31,20 @@ SYMBOLS = frozenset(e for e in ELEMENTS if len(e) == 2) - {"As", "In", "At", "No
 TOP, BOTTOM = 2, 3
 #: Papers in which a line must recur at page edges, and the share of its occurrences that must lie there.
 PAPERS, EDGE_SHARE = 3, 0.75
-#: How many times as frequent a word must be to count as the one meant: for sure, and where the contexts agree.
-SURE, LIKELY, ALIKE = 40, 5, 0.3
-#: The same for words of up to three letters, whose skeletons meet by chance.
-SURE_SHORT = 200
-#: Most frequent words, which are known to be right unless they are linked to others; a bound on what is sent to tasks.
-KNOWN_WORDS = 20_000
-DIMENSIONS, WINDOW, MIN_COUNT = 24, 4, 3
+#: How many times as frequent a word must be to be the one meant, by length: skeletons of up to three letters meet by chance.
+LIKELY, LIKELY_SHORT = 5, 200
+#: Cosine of contexts from which a link holds; where a word is SURE times as frequent, less is enough.
+ALIKE, ALIKE_SURE, SURE = 0.3, 0.05, 40
+#: Size of the vectors, words on either side that are a word's context, and how many of the most frequent words count
+#: there, by their rarity: a bounded number sent to every task. A rarer word beside a word is no sign of what it means.
+DIMENSIONS, WINDOW, WEIGHED_WORDS = 64, 4, 20_000
+#: Slots of the filter that says which words a task need not look at, whatever the number of words.
+SLOTS = 1 << 20
 
 # Glyphs that scanners confuse, each as the strokes it is seen as.
 _STROKES = str.maketrans({**dict.fromkeys("0aoöQO", "o"), **dict.fromkeys("1lijI|!", "i"), **dict.fromkeys("tf", "t"), **dict.fromkeys("s5S", "s"), **dict.fromkeys("g9q", "g"), **dict.fromkeys("b6h8uB", "ii"), **dict.fromkeys("ec", "c"), **dict.fromkeys("z2", "z"), "d": "ci", "n": "ri", "m": "rri", "w": "vv"})
 _DIGIT_LIKE = str.maketrans({"l": "1", "I": "1", "|": "1", "O": "0", "o": "0", "S": "5", "s": "5", "B": "8", "b": "6", "Z": "2", "z": "2", "g": "9", "q": "9"})
+_DIGIT = re.compile(r"\d")
 _AROUND = ".,;:()[]{}\"'“”*<>"
 _BREAK = "-‐‑¬=­"
 _UNIT = r"(?:%|°C|°|K|MPa|GPa|HV|nm|μm|µm|mm|h|s|min|kV|mV|kJ|J|W|mA|ppm|gf|cycles|builds|bars|times|reflections|fields|wt%|at%|mg/s|mm/s|units)"
@@ -49,9 +57,10 @@ def skeleton(word: str) -> str:
     return word.replace("I", "l").lower().translate(_STROKES).replace("ti", "ri")
 
 
+@lru_cache(maxsize=200_000)
 def number_of(token: str) -> str | None:
     """The number that a token of digits and digit-like letters stands for, None where it stands for none."""
-    if not any(c.isdigit() for c in token):
+    if not _DIGIT.search(token):
         return None
     plain = token.translate(_DIGIT_LIKE)
     return plain if re.fullmatch(r"[-+]?\d+(?:[.,]\d+)*(?:\^-?\d+)?", plain) else None
@@ -59,7 +68,9 @@ def number_of(token: str) -> str | None:
 
 def edge_form(line: str | None) -> dict:
     """How a line compares as a running line: its style as a page number with the number, and its folded key."""
-    s = re.sub(r"\s+", " ", line or "").strip()
+    s = " ".join((line or "").split())
+    if len(s) > 40 and not _DIGIT.search(s):  # neither a page number nor a number in it: only the key matters
+        return {"style": None, "number": None, "key": " ".join(re.findall(r"[a-zà-ÿ0-9|]+", skeleton(s)))}
     paged = re.search(r"^p\.|^page\b|p a g e|^\[.*\]$|^[-–—] .* [-–—]$", s.lower())
     loose = lambda t: t.translate(_DIGIT_LIKE) if paged and re.fullmatch("[lIOoSBZ|]{1,4}", t) and t != "|" else None
     folded = " ".join(number_of(t.strip("[]().,-")) or loose(t.strip("[]().,-")) or t for t in s.split(" "))
@@ -99,7 +110,7 @@ def read_lines(blocks: DataFrame, texts: DataFrame) -> DataFrame:
 
 def mark_running(lines: DataFrame) -> DataFrame:
     """``lines`` with ``running``: whether the line is a running header, footer or page number."""
-    formed = lines.withColumn("e", mapped(edge_form, EDGE, "line")).select(*lines.columns, "e.*")
+    formed = lines.withColumn("e", each(edge_form, EDGE, "line")).select(*lines.columns, "e.*")
     labelled = F.coalesce(F.col("label").isin("header", "footer", "page_number", "number"), F.lit(False))
     edge = (F.col("from_top") <= TOP) | (F.col("from_bottom") <= BOTTOM) | labelled
     worded = F.length(F.regexp_replace("key", "[ #]", "")) >= 5
@@ -158,7 +169,6 @@ def _begins(title: str | None, line: str | None) -> bool:
 
 _WORDLIKE = re.compile(r"[A-Za-zÀ-ÿ0-9|!]+")
 _FORMULA = re.compile(r"(?:[A-Z][a-z]?(?:\d+(?:\.\d+)?)?)+$")
-TOKEN = "struct<i:int, kind:string, word:string>"
 
 
 def shaped(token: str) -> bool:
@@ -168,40 +178,82 @@ def shaped(token: str) -> bool:
     return len(token) > 3 and len(re.findall("[A-Z]", token)) >= 2 and bool(re.search("[a-z0-9]", token)) and token[0].isupper() and not token.isupper()
 
 
-def line_tokens(line: str | None) -> list[dict]:
-    """The tokens of a line: words (kind w, parts of compounds apart), numbers with letters (n), formulas (f), the half
-    at the line's end (b) and the line's first word (a), which may be the other half."""
-    out: list[dict] = []
+@lru_cache(maxsize=200_000)
+def _parts(token: str) -> tuple[tuple[str, str], ...]:
+    """(kind, word) of a token that stands by itself; the kind of a first part that is a word is a."""
+    core = token.strip(_AROUND)
+    if not core:
+        return ()
+    if number_of(core) is not None and not (_FORMULA.match(core) and len(core) > 2):
+        return () if re.fullmatch(r"[-+\d.,^]+", core) else (("n", core),)
+    if "{" in token or "$" in token or "^" in core or "<" in token:
+        return ()
+    out = []
+    for k, part in enumerate(re.split(r"[-–/+]", core)):
+        part = part.strip(".,;:()[]{}\"'“”*<>’")
+        if shaped(part) and (_FORMULA.match(part) or re.search(r"\d", part) or not part[1:].islower()):
+            out.append(("f", part))
+        elif len(part) > 1 and re.fullmatch(r"[A-Za-zÀ-ÿ0-9|!]+", part) and re.search("[A-Za-z]", part) and part not in SYMBOLS:
+            out.append(("w" if k else "a", part))
+    return tuple(out)
+
+
+_LONE = re.compile(r"[lIOoSBZ]{1,3}")
+
+
+def line_tokens(line: str | None) -> list[tuple[int, str, str]]:
+    """(place, kind, word) of a line: words (kind w, parts of compounds apart), numbers with letters (n), formulas (f), the
+    half at the line's end (b) and the line's first word (a), which may be the other half."""
+    out: list[tuple[int, str, str]] = []
     raw = (line or "").split()
     for i, token in enumerate(raw):
-        core = token.strip(_AROUND)
-        if not core:
-            continue
-        last = i == len(raw) - 1
-        half = last and len(token) > 1 and token[-1] in _BREAK and token[-2].isalnum()
-        if half:
-            stem = token.rstrip(_BREAK)
-            parts = re.split(r"[-/]", stem.strip("([\"'"))
-            out.append({"i": i, "kind": "b", "word": parts[-1]})
-            core = "-".join(parts[:-1])
-            if not core:
-                continue
-        following = raw[i + 1].strip(".,;:()[]") if not last else ""
-        if number_of(core) is not None and not (_FORMULA.match(core) and len(core) > 2) or re.fullmatch(r"[lIOoSBZ]{1,3}", core) and re.fullmatch(_UNIT, following):
-            if not re.fullmatch(r"[-+\d.,^]+", core):
-                out.append({"i": i, "kind": "n", "word": core})
+        if i == len(raw) - 1 and len(token) > 1 and token[-1] in _BREAK and token[-2].isalnum():
+            parts = re.split(r"[-/]", token.rstrip(_BREAK).strip("([\"'"))
+            out.append((i, "b", parts[-1]))
+            token = "-".join(parts[:-1])
+        elif len(token) < 8 and _LONE.fullmatch(core := token.strip(_AROUND)) and i < len(raw) - 1 and re.fullmatch(_UNIT, raw[i + 1].strip(".,;:()[]")):
+            out.append((i, "n", core))
             continue
-        if "{" in token or "$" in token or "^" in core or "<" in token:
-            continue
-        for k, part in enumerate(re.split(r"[-–/+]", core)):
-            part = part.strip(".,;:()[]{}\"'“”*<>’")
-            if shaped(part) and (_FORMULA.match(part) or re.search(r"\d", part) or not part[1:].islower()):
-                out.append({"i": i, "kind": "f", "word": part})
-            elif len(part) > 1 and re.fullmatch(r"[A-Za-zÀ-ÿ0-9|!]+", part) and re.search("[A-Za-z]", part) and part not in SYMBOLS:
-                out.append({"i": i, "kind": "a" if i == 0 and k == 0 else "w", "word": part})
+        for kind, word in _parts(token):
+            out.append((i, "w" if kind == "a" and i else kind, word))
     return out
 
 
+TOKENS = "table_name string, row_no bigint, line_no int, kind string, word string, n bigint"
+
+
+def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of :data:`TOKENS`: halves, first words, numbers and formulas with their line, and, without one, a partition's
+    counts of words in lower case."""
+    counts: Counter[str] = Counter()
+    place = ["table_name", "row_no", "line_no"]
+
+    def told() -> pd.DataFrame:
+        out = pd.DataFrame({"table_name": None, "row_no": None, "line_no": None, "kind": "w", "word": list(counts), "n": list(counts.values())}).astype({"row_no": object, "line_no": object})
+        counts.clear()
+        return out
+
+    for b in batches:
+        at, kinds, words = [], [], []
+        for k, line in enumerate(b["line"]):
+            for _, kind, word in line_tokens(line):
+                if kind in "wa":
+                    counts[word.lower()] += 1
+                if kind != "w":
+                    at.append(k)
+                    kinds.append(kind)
+                    words.append(word)
+        yield b[place].iloc[at].reset_index(drop=True).assign(kind=kinds, word=words, n=None)
+        if len(counts) > 200_000:
+            yield told()
+    yield told()
+
+
+def read_tokens(content: DataFrame) -> DataFrame:
+    """The rows of :data:`TOKENS` of lines, written once."""
+    return cut(content.select("table_name", "row_no", "line_no", "line").mapInPandas(_tokens, TOKENS))
+
+
 def formula_elements(word: str) -> list[str]:
     return re.findall(r"[A-Z][a-z]?", word) if _FORMULA.match(word) else []
 
@@ -214,47 +266,143 @@ def formula_fault(word: str, elements: frozenset[str]) -> bool:
     return bool(re.search(r"[A-Z][a-z]", word)) and sum(word.count(e) for e in elements if len(e) == 2) >= 2
 
 
-def link_words(counts: DataFrame, sentences: DataFrame) -> DataFrame:
-    """(word, meant): rare words linked to the frequent word of the same glyph skeleton.
+def link_words(counts: DataFrame) -> DataFrame:
+    """(word, meant, n, m): words with the frequent ones of their glyph skeleton, LIKELY times as frequent.
 
-    ``counts``: (word, n), words in lower case. Words are joined by skeleton, so no pairs of unlike words arise.
-    Where the frequent word isn't SURE times as frequent, the cosine of the skip-gram vectors must be ALIKE.
+    ``counts``: (word, n), words in lower case. Words are joined by skeleton, so no pairs of unlike words arise. These are
+    the plausible glyph edits; whether a link holds is for the contexts to say.
     """
-    shaped_ = counts.where("length(word) > 1").withColumn("skeleton", mapped(skeleton, "string", "word"))
-    best = shaped_.groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("meant"), F.max("n").alias("m"), F.count("*").alias("k")).where("k > 1 and m >= 3")
-    pairs = shaped_.join(best, "skeleton").where((F.col("word") != F.col("meant")) & (F.col("m") >= LIKELY * F.col("n"))).select("word", "n", "meant", "m")
-    odd = F.col("word").rlike(r"[0-9|!]") & ~F.col("meant").rlike(r"[0-9|!]")
-    # A rare word beside a frequent one: 3 to 1 is enough where it has digits inside.
-    sure = (F.col("m") >= SURE * F.col("n")) | odd
-    pairs = pairs.where((F.length("meant") > 3) | (F.col("m") >= SURE_SHORT * F.col("n")))
-    vectors = skip_grams(sentences)
-    open_ = pairs.where(~sure)
-    a, b = vectors.select(F.col("word"), F.col("vector").alias("va")), vectors.select(F.col("word").alias("meant"), F.col("vector").alias("vb"))
-    product = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda v: F.sqrt(F.aggregate(F.transform(v, lambda x: x * x), F.lit(1e-12), lambda s, x: s + x))
-    judged = open_.join(a, "word", "left").join(b, "meant", "left").withColumn("cosine", product / (norm("va") * norm("vb")))
-    # Too rare for a vector of its own: nothing speaks against the link but a low ratio.
-    agreed = judged.where((F.col("cosine") >= ALIKE) | F.col("cosine").isNull() & (F.col("m") >= 2 * LIKELY * F.col("n")))
-    return pairs.where(sure).select("word", "meant").unionByName(agreed.select("word", "meant"))
-
-
-def skip_grams(sentences: DataFrame) -> DataFrame:
-    """(word, vector) of words that occur MIN_COUNT times, learnt by skip-gram on all lines.
-
-    Numbers and formulas are one word each, so the vocabulary is that of the language.
+    formed = counts.where("length(word) > 1").withColumn("skeleton", mapped(skeleton, "string", "word"))
+    top = formed.groupBy("skeleton").agg(F.max("n").alias("top"), F.count("*").alias("k")).where("k > 1 and top >= 3")
+    grouped = formed.join(top, "skeleton").withColumn("head", F.col("n") * LIKELY > F.col("top"))
+    heads = grouped.where("head").select("skeleton", F.col("word").alias("meant"), F.col("n").alias("m"))
+    pairs = grouped.where("not head").select("skeleton", "word", "n").join(heads, "skeleton")
+    return pairs.where((F.col("m") >= LIKELY * F.col("n")) & ((F.length("meant") > 3) | (F.col("m") >= LIKELY_SHORT * F.col("n")))).select("word", "meant", "n", "m")
+
+
+def _slots(words: DataFrame) -> np.ndarray:
+    """Which slots the words take: at most SLOTS rows come to the driver."""
+    out = np.zeros(SLOTS, bool)
+    out[[r.s for r in words.select(F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(SLOTS)).cast("int").alias("s")).distinct().collect()]] = True
+    return out
+
+
+def word_weights(counts: DataFrame) -> dict[str, float]:
+    """Weights of the most frequent words in a context: the rarer, the more, up to 1."""
+    total = counts.agg(F.sum("n")).collect()[0][0] or 1
+    top = counts.where("n >= 5").orderBy(F.desc("n"), "word").limit(WEIGHED_WORDS).collect()
+    return {r.word: 1e-3 / (1e-3 + r.n / total) for r in top}
+
+
+class _Vectors(dict):
+    """Words to their numbers; a word's random signs with its weight, and whether it may be misread or meant."""
+
+    def __init__(self, weights: dict[str, float], misread: np.ndarray, meant: np.ndarray) -> None:
+        self.weights, self.misread_slots, self.meant_slots = weights, misread, meant
+        self.signs: list[np.ndarray] = []
+        self.flags: list[int] = []
+        self.words: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        raw = word.encode()
+        slot = zlib.crc32(raw) % SLOTS
+        bits = np.unpackbits(np.frombuffer(hashlib.blake2b(raw, digest_size=DIMENSIONS // 8).digest(), np.uint8))
+        self.signs.append((bits * np.float32(2) - np.float32(1)) * np.float32(self.weights.get(word, 0.0)))
+        self.flags.append(int(self.misread_slots[slot]) | 2 * int(self.meant_slots[slot]))
+        self.words.append(word)
+        self[word] = n = len(self.words) - 1
+        return n
+
+
+CONTEXT = "table_name string, row_no bigint, line_no int, kind string, written string, word string, n bigint, v array<float>"
+
+
+def _line_contexts(weights: dict[str, float], misread: np.ndarray, meant: np.ndarray):
+    """Rows of :data:`CONTEXT`: one for each word that may be misread, and, without a place, a partition's sums by word."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Vectors(weights, misread, meant)
+        sums: dict[str, tuple[int, np.ndarray]] = {}
+
+        def told() -> pd.DataFrame:
+            out = pd.DataFrame({"table_name": None, "row_no": None, "line_no": None, "kind": None, "written": None, "word": list(sums), "n": [n for n, _ in sums.values()], "v": [v for _, v in sums.values()]})
+            sums.clear()
+            return out.astype({"row_no": object, "line_no": object})
+
+        for b in batches:
+            if len(known) > 200_000:
+                known = _Vectors(weights, misread, meant)
+            lines = [[t for t in line_tokens(x) if t[1] in "wab"] for x in b["line"]]
+            tokens = [t for ts in lines for t in ts]
+            size = np.array([len(ts) for ts in lines], dtype=np.int64)
+            at = np.fromiter((known[w.lower()] for _, _, w in tokens), np.int64, len(tokens))
+            if not len(at):
+                continue
+            end = np.repeat(np.cumsum(size), size)
+            start, i = end - np.repeat(size, size), np.arange(len(at))
+            vectors = np.array(known.signs)[at]
+            total = np.vstack([np.zeros((1, DIMENSIONS), np.float32), np.cumsum(vectors, axis=0, dtype=np.float64)])
+            flags = np.array(known.flags)[at]
+            own = np.flatnonzero((flags > 0) & (np.array([k for _, k, _ in tokens]) != "b"))
+            around = (total[np.minimum(own + WINDOW + 1, end[own])] - total[np.maximum(own - WINDOW, start[own])] - vectors[own]).astype(np.float32)
+            order = np.argsort(at[own], kind="stable")
+            ids, first = np.unique(at[own][order], return_index=True)
+            if len(ids):
+                for k, n, v in zip(ids, np.diff(np.append(first, len(own))), np.add.reduceat(around[order], first)):
+                    n0, v0 = sums.get(known.words[k], (0, 0))
+                    sums[known.words[k]] = (n0 + int(n), v0 + v)
+            odd = flags[own] & 1 > 0
+            line = np.repeat(np.arange(len(b)), size)[own[odd]]
+            rows = b[["table_name", "row_no", "line_no"]].iloc[line].reset_index(drop=True)
+            which = own[odd]
+            yield rows.assign(kind=[tokens[k][1] for k in which], written=[tokens[k][2] for k in which], word=[known.words[k] for k in at[which]], n=1, v=list(around[odd]))
+            if len(sums) > 200_000:
+                yield told()
+        yield told()
+
+    return run
+
+
+def agreement(content: DataFrame, counts: DataFrame, links: DataFrame) -> DataFrame:
+    """(table_name, row_no, line_no, kind, written, word, meant, n, m, here, always): every occurrence of a linked word with
+    the cosine of its own context, and of all contexts of the word, with the vector of each word that may be meant.
+
+    The vectors are those of skip-grams: a word's is the sum, over all its occurrences, of the random vectors of the
+    words up to WINDOW places away, weighted by rarity. Partitions sum by word before the shuffle.
     """
-    if not sentences.head(1):
-        return sentences.sparkSession.createDataFrame([], "word string, vector array<double>")
-    parts = max(1, min(sentences.rdd.getNumPartitions(), 6))
-    try:
-        model = Word2Vec(vectorSize=DIMENSIONS, windowSize=WINDOW, minCount=MIN_COUNT, maxIter=1, numPartitions=parts, stepSize=0.05, seed=7, inputCol="words", outputCol="v").fit(sentences)
-    except Exception as e:  # a corpus in which no word occurs often enough
-        if "vocabulary size should be > 0" not in str(e):
-            raise
-        return sentences.sparkSession.createDataFrame([], "word string, vector array<double>")
-    from pyspark.ml.functions import vector_to_array
+    misread, meant = _slots(links.select("word")), _slots(links.select(F.col("meant").alias("word")))
+    seen = cut(content.select("table_name", "row_no", "line_no", "line").mapInPandas(_line_contexts(word_weights(counts), misread, meant), CONTEXT))
+    sums = seen.where("table_name is null").groupBy("word").agg(*[F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(DIMENSIONS)])
+    vectors = sums.select("word", F.array(*[F.col(f"v{i}").cast("float") for i in range(DIMENSIONS)]).alias("v"))
+    told = links.join(vectors.withColumnRenamed("v", "v_word"), "word").join(vectors.select(F.col("word").alias("meant"), F.col("v").alias("v_meant")), "meant")
+    return seen.where("table_name is not null").select("table_name", "row_no", "line_no", "kind", "written", "word", "v").join(told, "word").select("table_name", "row_no", "line_no", "kind", "written", "word", "meant", "n", "m", _cosine("v", "v_meant").alias("here"), _cosine("v_word", "v_meant").alias("always"))
 
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+def in_context(agreed: DataFrame) -> DataFrame:
+    """The occurrences of :func:`agreement` that hold, each with the word meant whose contexts agree best.
+
+    The own context and those of all occurrences count alike. A word SURE times as frequent needs less agreement; a word
+    that stands alone wherever it occurs has no context, and only such a word holds for it.
+    """
+    sure = F.col("m") >= SURE * F.col("n")
+    alike = F.greatest("here", "always")
+    best = agreed.withColumn("alike", alike).where(F.when(F.col("alike").isNull(), sure).otherwise(F.col("alike") >= F.when(sure, ALIKE_SURE).otherwise(ALIKE)))
+    each_ = ["table_name", "row_no", "line_no", "kind", "written", "word"]
+    order = F.struct(F.coalesce(F.col("here") + F.col("always"), F.lit(-2.0)), "m", "meant")
+    return best.groupBy(*each_).agg(F.max_by("meant", order).alias("meant"))
+
+
+def _cosine(a: str, b: str) -> Column:
+    """Cosine of two vectors, null where one is nothing."""
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=float)
+        p, q = np.stack(x.to_numpy()).astype(float), np.stack(y.to_numpy()).astype(float)
+        size = np.linalg.norm(p, axis=1) * np.linalg.norm(q, axis=1)
+        return pd.Series(np.where(size > 1e-9, (p * q).sum(1) / np.maximum(size, 1e-9), np.nan))
+
+    return F.nanvl(F.pandas_udf(lambda x, y: run(x, y), "double")(a, b), F.lit(None).cast("double"))
 
 
 def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -266,18 +414,18 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     marked = cut(mark_running(read_lines(blocks, texts)))
     content = marked.where("not running")
     key = ["table_name", "row_no", "line_no"]
-    tokens = cut(content.select(*key, F.explode(each(line_tokens, f"array<{TOKEN}>", "line")).alias("t")).select(*key, "t.*"))
+    tokens = read_tokens(content)
 
     halves = join_halves(content, tokens)
     second = halves.select("table_name", F.col("row2").alias("row_no"), F.col("line2").alias("line_no"), F.lit("a").alias("kind"))
-    whole = tokens.where("kind in ('w', 'a')").join(second, [*key, "kind"], "left_anti")
-    counts = cut(whole.where(F.col("word").rlike("[A-Za-z]")).groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("n")))
-
-    sentences = content.select(F.filter(F.split(F.lower(F.regexp_replace("line", r"[^A-Za-z0-9À-ÿ ]", " ")), " +"), lambda w: F.length(w) > 1).alias("words")).where(F.size("words") > 1)
-    links = cut(link_words(counts, sentences))
+    # Second halves are no words of their own.
+    taken = halves.select("table_name", "row2", "line2", "second").distinct().where(F.col("second").rlike("[A-Za-z]")).groupBy(F.lower("second").alias("word")).agg(F.count("*").alias("k"))
+    counted = tokens.where("kind = 'w' and table_name is null").where(F.col("word").rlike("[A-Za-z]")).groupBy("word").agg(F.sum("n").alias("n"))
+    counts = cut(counted.join(taken, "word", "left").select("word", (F.col("n") - F.coalesce("k", F.lit(0))).alias("n")).where("n > 0"))
+    links = cut(link_words(counts))
 
     # Split words: decided once for each pair of halves.
-    compounds = content.select(F.explode(F.regexp_extract_all("line", F.lit(r"[A-Za-z]{2,}-[A-Za-z]{2,}"), F.lit(0))).alias("word")).groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("n"))
+    compounds = content.where(F.contains("line", F.lit("-"))).select(F.explode(F.regexp_extract_all("line", F.lit(r"[A-Za-z]{2,}-[A-Za-z]{2,}"), F.lit(0))).alias("word")).groupBy(F.lower("word").alias("word")).agg(F.count("*").alias("n"))
     pairs = halves.groupBy(F.lower("first").alias("a"), F.lower("second").alias("b")).agg(F.count("*").alias("k"))
     n = lambda df, name, as_: df.select(F.col("word").alias(name), F.col("n").alias(as_))
     pairs = pairs.withColumn("joined", F.concat("a", "b")).withColumn("compound", F.concat_ws("-", "a", "b"))
@@ -297,11 +445,9 @@ def find_noise(blocks: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFram
     both = bad.where("in_second or not endswith(meant, b)")
     in_halves = in_halves.unionByName(both.select("table_name", F.col("row2").alias("row_no"), F.col("line2").alias("line_no"), F.lit("misread").alias("noise_kind"), F.col("second").alias("word"), "meant"))
 
-    # Misread words: only those that aren't among the most frequent words are joined with the links.
-    frequent = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).join(links.select("word"), "word", "left_anti").where("n > 20").select("word").collect()]
-    ordinary = frozenset(frequent)
-    rare = whole.where(~mapped(lambda w: w is not None and w.lower() in ordinary, "boolean", "word")).withColumn("word_", F.lower("word"))
-    found = rare.join(links.withColumnRenamed("word", "word_"), "word_").select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
+    # Misread words, decided for each occurrence in its context.
+    held = in_context(agreement(content, counts, links)).join(second, [*key, "kind"], "left_anti")
+    found = held.select(*key, F.lit("misread").alias("noise_kind"), F.col("written").alias("word"), "meant")
     # A half that isn't joined to another is a word of its own line.
     numbers = faulty_numbers(content, tokens).select(*key, F.lit("misread").alias("noise_kind"), "word", "meant")
     formulas = faulty_formulas(tokens, counts).select(*key, F.lit("misread").alias("noise_kind"), "word", F.lit(None).cast("string").alias("meant"))
@@ -317,7 +463,7 @@ def faulty_numbers(content: DataFrame, tokens: DataFrame) -> DataFrame:
     """
     found = tokens.where("kind = 'n'").withColumn("meant", mapped(lambda w: (w or "").translate(_DIGIT_LIKE), "string", "word"))
     numbers = F.transform(F.split("line", r"\s+"), lambda t: F.btrim(t, F.lit(_AROUND)))
-    plain = content.select(F.explode(numbers).alias("meant")).where(F.col("meant").rlike(r"^[-+\d.,^]*\d[-+\d.,^]*$")).groupBy("meant").agg(F.count("*").alias("m"))
+    plain = content.where(F.col("line").rlike("[0-9]")).select(F.explode(numbers).alias("meant")).where(F.col("meant").rlike(r"^[-+\d.,^]*\d[-+\d.,^]*$")).groupBy("meant").agg(F.count("*").alias("m"))
     seen = found.groupBy("word", "meant").agg(F.count("*").alias("n")).join(plain, "meant", "left")
     return found.join(seen.where(_is_name("n", "m")).select("word"), "word", "left_anti")
 
