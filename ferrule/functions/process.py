@@ -14,7 +14,8 @@ CATEGORY_WORDS = {
     "Powder_Recycling": ["powder recycling", "recycled powder", "powder reuse", "reuse cycle"],
     "EBM": ["electron beam powder bed fusion", "powder bed fusion electron beam", "pbf-eb", "electron beam melting", "arcam"],
     "AM_DED": ["laser-aided additive manufacturing", "laser aided additive manufacturing", "laam", "directed energy deposition", "ded", "lens", "laser cladding", "laser metal deposition"],
-    "AM_LPBF": ["selective laser melting", "slm", "laser powder bed fusion", "lpbf", "l-pbf", "pbf-lb", "laser beam powder bed fusion"],
+    "AM_SLM": ["selective laser melting", "slm"],
+    "AM_LPBF": ["laser powder bed fusion", "lpbf", "l-pbf", "pbf-lb", "laser beam powder bed fusion"],
     "WAAM": ["wire arc additive manufacturing", "waam", "wire arc additive"],
     "Powder_Metallurgy": ["powder metallurgy", "powder-metallurgy", "pm route", "hipped", "sintered", "isothermal forging", "isothermally forged"],
     "Wrought": ["thermomechanical processing", "wrought", "wrought alloy", "rolled", "rolling", "forged", "forging", "extruded", "extrusion"],

@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,7 +141,9 @@ def renames(found: DataFrame, pairs: DataFrame, values: DataFrame) -> DataFrame:
     wanted = found.where("kind != 'retyped'").join(pairs.select("file_no", "before"), "file_no").select("stream_id", F.col("file_no").alias("pair"), "kind", own.alias("file_no"), "path")
     cells = cut(values.where("bit > 0 and value is not null").join(wanted, ["file_no", "path"]).select("stream_id", "pair", "kind", "sample", "n", "pos", "path", "value"))
     side = lambda kind, p, v: cells.where(F.col("kind") == kind).select("stream_id", F.col("pair").alias("file_no"), "sample", "n", "pos", F.col("path").alias(p), F.col("value").alias(v))
-    both = side("removed", "old_path", "old").join(side("added", "new_path", "new"), ["stream_id", "file_no", "sample", "n", "pos"])
+    on = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("stream_id", "file_no", "sample", "n", "pos")])
+    gone, come = side("removed", "old_path", "old").alias("a"), side("added", "new_path", "new").alias("b")
+    both = gone.join(come, on).select("a.stream_id", "a.file_no", "old_path", "old", "new_path", "new")
     pair = both.groupBy("stream_id", "file_no", "old_path", "new_path").agg(F.count("*").alias("n"), F.count_if(F.col("old") == F.col("new")).alias("same"), F.countDistinct("old").alias("kinds"))
     pair = pair.where(F.col("same") >= F.col("n") * KEPT)
     rank = [F.col("same").desc(), F.col("kinds").desc(), F.levenshtein("old_path", "new_path"), F.col("old_path"), F.col("new_path")]

@@ -23,9 +23,7 @@ LEAF = "array<struct<path:string, kind:string, value:string>>"
 def json_root(text: str | None) -> object:
     """The parsed text, unwrapped where a JSON text holds another JSON text; None where it isn't JSON."""
     value: object = text
-    for _ in range(4):
-        if not isinstance(value, str):
-            break
+    while isinstance(value, str):
         try:
             value = json.loads(value)
         except ValueError:

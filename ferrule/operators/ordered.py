@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferrule.session import cut
+
 
 def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str, partitions: int | None = None) -> DataFrame:
     """``df`` with ``name``: ``value`` of the row before by ``order`` in the same ``group``, null for the first.
@@ -16,7 +18,8 @@ def with_previous(df: DataFrame, group: Sequence[str], order: Sequence[str], val
     the group's range before. The table of range ends has at most one row for each range and group that spans it.
     ``order`` must tell rows of a group apart. Nulls sort first.
     """
-    ranged = df.repartitionByRange(*([partitions] if partitions else []), *group, *order).withColumn("_range", F.spark_partition_id())
+    # Written once: the number of a row's range must be the same in both uses below.
+    ranged = cut(df.repartitionByRange(*([partitions] if partitions else []), *group, *order).withColumn("_range", F.spark_partition_id()))
     within = Window.partitionBy("_range", *group).orderBy(*order)
     rows = ranged.withColumn(name, F.lag(value).over(within)).withColumn("_first", F.row_number().over(within) == 1)
     ends = ranged.groupBy("_range", *group).agg(F.max_by(F.col(value), F.struct(*order)).alias("_last"))

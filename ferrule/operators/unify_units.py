@@ -3,8 +3,8 @@
 The unit of a number is known from the row's unit text, else from the row's other texts. Where both are silent, a
 mixture on the log scale says how likely each listed unit is: its components are the property's own distribution,
 learnt from rows of known unit, shifted by the known conversion factors; only the weights are fitted, by EM on a
-histogram. Such rows keep the common unit (a row without any sign of a unit holds in it); the posterior's unit, its
-probability and a flag for uncertainty are reported beside the value.
+histogram, from a prior that a row without any sign holds in the common unit. The posterior assigns the unit; where it
+is not certain, the common one stays and the row is flagged.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ferrule.functions.arrow import mapped
 from ferrule.functions.lexicon import Lexicon
 from ferrule.functions.units import Units, temperature_unit, to_kelvin
+from ferrule.session import cut
 
 #: Bins of a decade in the histograms.
 BINS = 20
@@ -26,12 +27,16 @@ BINS = 20
 PRIOR_COMMON, PRIOR_OTHER = 5.0, 0.05
 #: Below this posterior a unit is flagged as uncertain.
 CERTAIN = 0.95
+#: Rows that each of the two reference lists may have; more are an error.
+MOST = 100_000
 
 
 def reference(terms: DataFrame, unit_codes: DataFrame) -> tuple[Lexicon, Units]:
     """The term lexicon and the units, from the two fixed reference tables (some hundred rows; read to the driver)."""
-    rows = terms.where("field_name = 'Property_Name'").select("term_id", "term", "also_known_as", "common_unit").limit(100_000).collect()
-    codes = unit_codes.select("unit_code", "symbol", "quantities").limit(100_000).collect()
+    rows = terms.where("field_name = 'Property_Name'").select("term_id", "term", "also_known_as", "common_unit").limit(MOST + 1).collect()
+    codes = unit_codes.select("unit_code", "symbol", "quantities").limit(MOST + 1).collect()
+    if max(len(rows), len(codes)) > MOST:
+        raise ValueError(f"a reference list of more than {MOST} rows")
     lexicon = Lexicon((r.term_id, [r.term, *(r.also_known_as or [])]) for r in rows)
     return lexicon, Units(((c.unit_code, c.symbol or "", c.quantities or []) for c in codes), {r.term_id: r.common_unit for r in rows if r.common_unit})
 
@@ -104,36 +109,43 @@ def posterior(fitted: dict[int, dict], term: int | None, value: float | None) ->
     """The likeliest unit of a bare number and its probability."""
     f = fitted.get(term)
     if f is None or not value or value != value:
-        return {"likely": None, "p": None}
+        return {"likely": None, "p": None, "factor": None}
     y = math.log10(abs(value))
     p = [w * (math.exp(-0.5 * ((y + s - f["mean"]) / f["deviation"]) ** 2) + 1e-12) for w, s in zip(f["weights"], f["shift"])]
     best = max(range(len(p)), key=lambda i: p[i])
-    return {"likely": f["codes"][best], "p": p[best] / sum(p)}
+    return {"likely": f["codes"][best], "p": p[best] / sum(p), "factor": 10 ** f["shift"][best]}
 
 
-def unify(rows: DataFrame, lexicon: Lexicon, units: Units, texts: list[str] | None = None) -> DataFrame:
+def unify(rows: DataFrame, lexicon: Lexicon, units: Units, texts: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
     """``rows`` with value and temperature in common units, how each unit is known, and what is uncertain.
 
     Adds term (0: none), unit_code, unit_source (unit, text, none), value_common, likely_unit, likely_p, uncertain,
-    temperature_code, temperature_k. Nulls stay null; a value whose property has no term keeps its number.
+    temperature_code, temperature_k. Nulls stay null; a value whose property has no term keeps its number. A row without
+    any sign of a unit takes the unit that the mixture gives it with CERTAIN probability, else the common one, flagged.
+    ``keep``: the columns wanted; then signs are written once for the mixture and the result, not read off twice.
     """
     rows = rows.drop(*ADDED, "_term", "_code", "_source", "_factor", "_temp_code", "_s", "_g")
     texts = [c for c in (texts or ["Test_Condition", "Note", "Value_Range"]) if c in rows.columns]
     signed = with_signs(rows, lexicon, units, texts)
+    if keep is not None:
+        wanted = dict.fromkeys([*keep, "Value_Numeric", "Test_Temperature_K"])
+        rows = rows.select(*wanted)
+        signed = cut(signed.select(*wanted, "_term", "_code", "_source", "_factor", "_temp_code"))
     fitted = fit_mixture(signed, units)
     bare = F.col("_source") == "none"
-    guess = mapped(lambda t, v: posterior(fitted, t, v), "struct<likely:string, p:double>", F.when(bare, F.col("_term")), F.when(bare, F.col("Value_Numeric")))
+    guess = mapped(lambda t, v: posterior(fitted, t, v), "struct<likely:string, p:double, factor:double>", F.when(bare, F.col("_term")), F.when(bare, F.col("Value_Numeric")))
     kelvin: Column = F.col("Test_Temperature_K")
     kelvin = F.when(F.col("_temp_code") == "degC", kelvin + 273.15).when(F.col("_temp_code") == "degF", (kelvin - 32) / 1.8 + 273.15).otherwise(kelvin)
+    told = bare & (F.col("_g.p") >= CERTAIN)
     return signed.withColumn("_g", guess).select(
         *rows.columns,
         F.col("_term").alias("term"),
-        F.col("_code").alias("unit_code"),
+        F.when(told, F.col("_g.likely")).otherwise(F.col("_code")).alias("unit_code"),
         F.col("_source").alias("unit_source"),
-        (F.col("Value_Numeric") * F.coalesce("_factor", F.lit(1.0))).alias("value_common"),
+        (F.col("Value_Numeric") * F.when(told, F.col("_g.factor")).otherwise(F.coalesce("_factor", F.lit(1.0)))).alias("value_common"),
         F.col("_g.likely").alias("likely_unit"),
         F.col("_g.p").alias("likely_p"),
-        F.coalesce(bare & ((F.col("_g.p") < CERTAIN) | (F.col("_g.likely") != F.col("_code"))), F.lit(False)).alias("uncertain"),
+        F.coalesce(bare & (F.col("_g.p") < CERTAIN), F.lit(False)).alias("uncertain"),
         F.col("_temp_code").alias("temperature_code"),
         kelvin.alias("temperature_k"),
     )

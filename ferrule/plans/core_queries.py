@@ -87,7 +87,7 @@ def p6_precipitates(spark: SparkSession, folder: str) -> DataFrame:
 def _units(spark: SparkSession, folder: str):
     lexicon, units = reference(table(spark, folder, "canon_terms"), table(spark, folder, "unit_codes"))
     columns = ["test_id", "Property_Name", "Unit", "Value_Numeric", "Test_Temperature_K", "Test_Condition", "Note", "Value_Range"]
-    return unify(table(spark, folder, "properties").select(*columns), lexicon, units), units
+    return unify(table(spark, folder, "properties").select(*columns), lexicon, units, keep=["test_id"]), units
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -136,7 +136,7 @@ SQL: dict[str, str] = {
       x as (select i.item_no, region_no, greatest(0, a[3] - a[1]) * greatest(0, a[4] - a[2]) as sa, greatest(0, b[3] - b[1]) * greatest(0, b[4] - b[2]) as sb, greatest(0, least(a[3], b[3]) - greatest(a[1], b[1])) * greatest(0, least(a[4], b[4]) - greatest(a[2], b[2])) as s from i join r using (paper_id, page, typer)),
       y as (select *, s / (sa + sb - s) as iou from x where sa >= 4000 and s > 0), z as (select *, row_number() over (partition by item_no order by iou desc, region_no) as k from y where iou > 0.1)
       select item_no, region_no, cast(floor(iou * 1000 + 0.01) as bigint) as iou_1000 from z where k = 1""",
-    "confidence_policy": f"with {BLOCKS} select paper_id, round(avg(confidence), 4) as avg_confidence, count(distinct case when confidence < 0.8 then page end) as low_pages, count_if(typer = 'table') as tables, count_if(typer = 'paragraph') as paragraphs, count_if(block_label in {_in(NOISE_LABELS)}) as noise_blocks, count_if(not (typer = 'paragraph' and coalesce(confidence < 0.8, false))) as kept from blocks group by paper_id",
+    "confidence_policy": f"with {BLOCKS} select paper_id, ((sum(cast(round(confidence * 1000000) as bigint)) * 20000 + count(confidence) * 1000000) // (count(confidence) * 2000000)) / 10000.0 as avg_confidence, count(distinct case when confidence < 0.8 then page end) as low_pages, count_if(typer = 'table') as tables, count_if(typer = 'paragraph') as paragraphs, count_if(block_label in {_in(NOISE_LABELS)}) as noise_blocks, count_if(not (typer = 'paragraph' and coalesce(confidence < 0.8, false))) as kept from blocks group by paper_id",
     "numbered_tables": f"with {BLOCKS} select item_no, paper_id, page, row_number() over (partition by paper_id, page order by pos, item_no) as n from blocks where typer = 'table'",
     "typed_blocks": f"with {BLOCKS}, k as (select paper_id, case when block_label = 'table' then 't' when block_label in ('doc_title', 'paragraph_title') then 'h' when block_label = 'figure_title' then 'c' when block_label in {_in(NOISE_LABELS)} then 'f' else 'p' end as k from blocks) select paper_id, count_if(k = 't') as n_table, count_if(k = 'h') as n_heading, count_if(k = 'c') as n_caption, count_if(k = 'f') as n_furniture, count_if(k = 'p') as n_paragraph from k group by paper_id",
     "html_tables": """select unit_code, 0 as "row", c as col, ['code', 'symbol'][c + 1] as name, case c when 0 then unit_code else regexp_replace(trim(symbol), '\\s+', ' ', 'g') end as value, true as merged from unit_codes, (values (0), (1)) v(c)""",

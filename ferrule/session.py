@@ -35,6 +35,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if jsc.getCheckpointDir().isDefined():
         return jsc.getCheckpointDir().get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ferrule-checkpoint-"))
     return jsc.getCheckpointDir().get()
 

@@ -22,10 +22,11 @@ def upsert_latest(stream: DataFrame, target: str, key: list[str], order: list[st
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        try:
-            before = spark.read.parquet(f"{target}/v={epoch - 1}") if epoch else None
-        except Exception:
-            before = None
+        last = f"{target}/v={epoch - 1}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(last)
+        # Only a version that was never written is nothing; one that can't be read is an error, and the batch comes again.
+        exists = epoch > 0 and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        before = spark.read.parquet(last) if exists else None
         rows = batch if before is None else before.unionByName(batch)
         w = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
         rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r").write.mode("overwrite").parquet(f"{target}/v={epoch}")

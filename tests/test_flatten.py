@@ -1,3 +1,5 @@
+import json
+
 from ferrule.operators.flatten import RecordTables, array_levels, json_root, merged_schema, text_leaves
 
 SCHEMA = """record_no bigint, item_pos string, items array<struct<Sample_ID:string, Composition_Info:struct<Role:string, Nominal_Composition:struct<Elements_Normalized:map<string,double>>>,
@@ -20,6 +22,10 @@ def test_leaves():
     assert text_leaves(None) == text_leaves("") == text_leaves("{bad") == text_leaves("3") == [] and json_root('"{}"') == {}
     deep = "[" * 500 + "1" + "]" * 500
     assert len(text_leaves(deep)) == 1
+    wrapped = '{"a": 1}'
+    for _ in range(9):
+        wrapped = json.dumps(wrapped)
+    assert [x["path"] for x in text_leaves(wrapped)] == ["a"]
 
 
 def test_merged_schema(spark, rows):

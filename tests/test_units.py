@@ -49,9 +49,23 @@ def test_mixture_finds_the_unit_of_bare_numbers(spark, ref):
     bare = [(1000 + i, "YS", None, 0.35 + i / 1000 if i % 2 else 350.0 + i, None, None, None, "", "") for i in range(100)]
     got = unify_units.unify(spark.createDataFrame(known + bare, P), lexicon, units).where("unit_source = 'none'").toPandas()
     small = got[got["Value_Numeric"] < 1]
-    assert (small["likely_unit"] == "GPa").all() and small["uncertain"].all()
-    assert (got[got["Value_Numeric"] > 100]["likely_unit"] == "MPa").all()
-    assert (got["unit_code"] == "MPa").all()
+    assert (small["likely_unit"] == "GPa").all() and (small["unit_code"] == "GPa").all() and not small["uncertain"].any()
+    assert ((small["value_common"] - small["Value_Numeric"] * 1000).abs() < 1e-6).all()
+    large = got[got["Value_Numeric"] > 100]
+    assert (large["likely_unit"] == "MPa").all() and (large["unit_code"] == "MPa").all()
+
+
+def test_found_rows_come_through_the_mixture(spark, ref):
+    lexicon, units = ref
+    known = [(i, "YS", "MPa", 300.0 + i, None, None, None, "", "") for i in range(200)]
+    bare = [(1000 + i, "YS", None, 0.35 + i / 1000 if i % 3 == 0 else 350.0 + i, None, None, None, "", "") for i in range(90)]
+    between = [(5000, "YS", None, 15.0, None, None, None, "", "")]
+    df = spark.createDataFrame(known + bare + between, P)
+    unified = unify_units.unify(df, lexicon, units, keep=["test_id"])
+    found = {(r.test_id, r.unit_code) for r in unify_units.foreign_numbers(unified, units).collect()}
+    assert found >= {(1000 + i, "GPa") for i in range(0, 90, 3)} and not found & {(1000 + i, "GPa") for i in range(90) if i % 3}
+    same = unify_units.foreign_numbers(unify_units.unify(df, lexicon, units), units).collect()
+    assert {(r.test_id, r.unit_code) for r in same} == found
 
 
 def test_temperatures():
