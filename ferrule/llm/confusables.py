@@ -20,12 +20,18 @@ _CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТУХԚԜаеѕіјорсухԛԝ
 _GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳνοϲ", "ABEZHIKMNOPTYXCjvoc"))
 #: Greek letters that resemble Latin ones but are told apart, so are only out of place inside a Latin word.
 _GREEK_LOOSE = dict(zip("αβγικρτυχη", "aßyikptuxn"))
+# Letters of further scripts that cannot be told from Latin ones, as pairs of letter and Latin letter.
+_ARMENIAN = dict(zip("ՍՏՕոսցհօՑ", "USOnughoS"))
+_CHEROKEE = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏔᏕᏙᏚᏞᏟᏢᏦᏧᏩᏭ", "DRTiYAJEWMHYGZ4WSVSLCPKdGG"))
+_IPA = dict(zip("ɑɡɩɪʏʟʜʙɴʀꜱᴄᴏᴠᴡᴢℓıȷ", "agiIYLHBNRscovwzlij"))
+_COPTIC = dict(zip("ⲞⲟⲢⲣⲤⲥⲦⲔⲎⲘⲚⲬ", "OoPpCcTKHMNX"))
+_FURTHER = {**_ARMENIAN, **_CHEROKEE, **_IPA, **_COPTIC}
 #: Signs that look the same, with the one that belongs.
 _SIGNS = {"‐": "-", "‑": "-", "﹣": "-", "∕": "/", "⁄": "/", "µ": "μ", "º": "°", "∶": ":", "⋅": "·", "‧": "·", "·": "·", "・": "·", "‚": ",", "․": ".", ";": ";", "ǃ": "!", "ʼ": "’", "ʹ": "′", "∣": "|", "ː": ":", "։": ":", "−": "−"}
 #: Modifiers that show nothing of their own.
 _UNSEEN = frozenset("­͏؜ᅟᅠ឴឵᠎ㅤﾠ﻿")
 
-_PROTOTYPE = {**_CYRILLIC, **_GREEK, **_SIGNS}
+_PROTOTYPE = {**_CYRILLIC, **_GREEK, **_FURTHER, **_SIGNS}
 _CJK = re.compile("[⺀-⿿、-ヿ㐀-鿿豈-﫿（），：；？！]")
 _WORD = re.compile(r"[^\W\d_]+(?:[\u0300-\u036f]+[^\W\d_]*)*")
 
@@ -40,7 +46,7 @@ def _narrow(c: str) -> str:
     if "！" <= c <= "～":
         plain = chr(ord(c) - 0xFEE0)
         return plain if plain.isalnum() else c
-    if "ﬀ" <= c <= "ﬆ" or "\U0001d400" <= c <= "\U0001d7ff" or c in "ΩKÅ":
+    if "ﬀ" <= c <= "ﬆ" or "Ⅰ" <= c <= "ⅿ" or "\U0001d400" <= c <= "\U0001d7ff" or c in "ΩKÅ":
         return unicodedata.normalize("NFKC", c)
     return c
 
@@ -105,6 +111,9 @@ def consistent(text: str | None) -> str | None:
     wide = {k: unicodedata.normalize("NFKC", k) for k in plain if "！" <= k <= "～"} if not _CJK.search(re.sub("[！-～]", "", plain)) else {}
     plain = "".join(wide.get(c, c) for c in plain)
     letters = [c for c in plain if c.isalpha()]
+    if any(c in _FURTHER for c in letters) and sum(_script(c) == "other" and c not in _FURTHER and not _CJK.match(c) for c in letters) <= 2:
+        plain = "".join(_FURTHER.get(c, c) for c in plain)
+        letters = [c for c in plain if c.isalpha()]
     cyrillic = sum(_script(c) == "cyrillic" and c not in _CYRILLIC for c in letters)
     greek = sum(_script(c) == "greek" and c not in _GREEK for c in letters)
     home = "cyrillic" if cyrillic > 2 else "greek" if greek > len(letters) // 2 and greek > 4 else "latin"
@@ -115,21 +124,31 @@ def consistent(text: str | None) -> str | None:
     return unicodedata.normalize("NFC", "".join(done) + plain[at:])
 
 
-FORM = "struct<form:string, skeleton:string>"
+def read(text: str) -> dict:
+    """(form, skeleton, changed) of a text. Only a text that isn't its own skeleton, composed, or has a Greek letter that
+    resembles a Latin one can hold a look-alike; of those the consistent form says which are out of place."""
+    like = skeleton(text)
+    if unicodedata.normalize("NFC", like) == text and not any(c in _GREEK_LOOSE for c in text):
+        return {"form": text, "skeleton": like, "changed": False}
+    form = consistent(text)
+    return {"form": form, "skeleton": like, "changed": form != text}
+
+
+FORM = "struct<form:string, skeleton:string, changed:boolean>"
 
 
 def unify(rows: DataFrame, keys: list[str], fields: dict[str, Column]) -> DataFrame:
-    """(keys, field_name, value, form, skeleton, changed) of every value that is not null; repeated rows once.
+    """(keys, field_name, value, form, skeleton, changed) of every value that is not null, a row for each.
 
-    No shuffle but the last one that drops repeats, which is aggregated first; long texts are handled whole.
+    A projection; long texts are handled whole.
     """
     long = rows.select(*keys, F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), c.alias("value")) for n, c in fields.items()])).alias("f"))
     long = long.select(*keys, "f.*").where(F.col("value").isNotNull())
-    formed = long.withColumn("_u", mapped(lambda v: {"form": consistent(v), "skeleton": skeleton(v)}, FORM, "value"))
-    return formed.select(*keys, "field_name", "value", "_u.form", "_u.skeleton", (F.col("value") != F.col("_u.form")).alias("changed"))
+    formed = long.withColumn("_u", mapped(read, FORM, "value"))
+    return formed.select(*keys, "field_name", "value", "_u.*")
 
 
 def groups(unified: DataFrame) -> DataFrame:
-    """(field_name, skeleton, n_rows, n_forms): values that read alike, with how many originals they have."""
-    counted = unified.groupBy("field_name", "skeleton", "value").agg(F.count("*").alias("n"))
+    """(field_name, skeleton, n_rows, n_originals): values that read alike, with how many originals they have; repeated rows once."""
+    counted = unified.distinct().groupBy("field_name", "skeleton", "value").agg(F.count("*").alias("n"))
     return counted.groupBy("field_name", "skeleton").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_originals"))

@@ -17,6 +17,8 @@ from ferrule.session import cut
 BLOCK_TOKENS = 1024
 #: Tokens of a shard: what one task of the seeded selection sorts.
 SHARD_TOKENS = 20_000_000
+#: Sources that may be listed; more are an error.
+MOST_SOURCES = 100_000
 
 
 def sainte_lague(weights: Sequence[float], seats: int, most: Sequence[float] | None = None) -> list[int]:
@@ -73,7 +75,10 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 42, block: int = BLOCK
     ``sizes``: (doc_id, source, n_tokens). Texts of no or an unlisted source, and those without tokens, are not drawn.
     What comes to the driver: sums by source and shard, a row for each some ten million tokens.
     """
-    wanted = [(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in targets.select("source", "target_share", "max_repeats").limit(100_000).collect() if r.source is not None]
+    listed = targets.select("source", "target_share", "max_repeats").limit(MOST_SOURCES + 1).collect()
+    if len(listed) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    wanted = [(r.source, float(r.target_share or 0), int(r.max_repeats or 0)) for r in listed if r.source is not None]
     sizes = cut(sizes.where("n_tokens > 0").where(F.col("source").isin([w[0] for w in wanted])))
     total = sizes.agg(F.sum("n_tokens")).collect()[0][0] or 0
     shards = max(1, -(-int(total) // shard_tokens))

@@ -19,6 +19,9 @@ from ferrule.session import cut
 #: Containers that a window's items fill on average: what bounds a task, and the one container a window may leave unfilled.
 WINDOW_CONTAINERS = 400
 
+#: Capacities that may be asked for at once; more are an error.
+MOST_PACKS = 1_000
+
 OUT = "pack_id bigint, container_id bigint, slot int, doc_id bigint, piece int, n_tokens bigint, fill bigint"
 
 
@@ -92,8 +95,10 @@ def fill_containers(sizes: DataFrame, packs: DataFrame) -> DataFrame:
     sizes = cut(sizes)
     capacities = packs.select("pack_id", F.col("capacity_tokens").cast("bigint").alias("capacity_tokens")).where("capacity_tokens > 0").dropDuplicates(["pack_id"])
     total = sizes.agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).collect()[0]
-    # pack_sizes is a parameter table of a few rows; each text is repeated once for each capacity.
-    pieces = sizes.crossJoin(F.broadcast(capacities.limit(1000)))
+    # pack_sizes is a parameter table of a few rows, which is checked; each text is repeated once for each capacity.
+    if capacities.count() > MOST_PACKS:
+        raise ValueError(f"more than {MOST_PACKS} pack sizes: each text is repeated for each of them")
+    pieces = sizes.crossJoin(F.broadcast(capacities))
     whole = F.col("n_tokens") <= F.col("capacity_tokens")
     last = F.when(whole, 0).otherwise(F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).cast("int") - 1)
     pieces = pieces.select("pack_id", "capacity_tokens", "doc_id", "n_tokens", F.explode(F.sequence(F.lit(0), last)).alias("piece"))

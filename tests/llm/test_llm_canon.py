@@ -47,3 +47,16 @@ def test_unify_and_groups(spark, rows):
     assert rows(u.where("changed").select("row_id").distinct()) == [(2,)]
     assert ("v", "Ni30", 3, 2) in rows(confusables.groups(u))
     assert confusables.unify(df.limit(0), ["row_id"], {"v": F.col("v")}).count() == 0
+
+
+@pytest.mark.parametrize("text,form", [("ᎠᎡalloy", "DRalloy"), ("ɡrain", "grain"), ("Ⅳ", "IV"), ("allοy", "alloy"), ("αlloy", "αlloy"), ("сплав", "сплав"), ("α-phase", "α-phase")])
+def test_read_by_skeleton(text, form):
+    got = confusables.read(text)
+    assert got["form"] == form and got["changed"] == (text != form)
+    assert got["skeleton"] == confusables.skeleton(text)
+
+
+def test_groups_count_repeated_rows_once(spark, rows):
+    df = spark.createDataFrame([(1, "alloy"), (1, "alloy"), (2, "аlloy"), (3, None)], "row_id bigint, t string")
+    unified = confusables.unify(df, ["row_id"], {"t": confusables.F.col("t")})
+    assert rows(confusables.groups(unified)) == [("t", "alloy", 2, 2)]

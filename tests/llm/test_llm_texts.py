@@ -74,6 +74,16 @@ def test_mix_reaches_shares_within_repeats(spark):
     assert mixing.sainte_lague([], 3) == [] and mixing.sainte_lague([1.0], 0) == [0]
 
 
+def test_too_long_parameter_tables_are_errors(spark, monkeypatch):
+    sizes = spark.createDataFrame([(1, "a", 5)], "doc_id bigint, source string, n_tokens bigint")
+    monkeypatch.setattr(packing, "MOST_PACKS", 1)
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
+    with pytest.raises(ValueError):
+        packing.fill_containers(sizes.select("doc_id", "n_tokens"), spark.createDataFrame([(1, 10), (2, 20)], "pack_id bigint, capacity_tokens bigint"))
+    with pytest.raises(ValueError):
+        mixing.mix(sizes, spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int"))
+
+
 # Residue -----------------------------------------------------------------------------------------------------------------
 
 
