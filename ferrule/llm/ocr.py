@@ -31,6 +31,9 @@ SYMBOLS = frozenset(e for e in ELEMENTS if len(e) == 2) - {"As", "In", "At", "No
 TOP, BOTTOM = 2, 3
 #: Papers in which a line must recur at page edges, and the share of its occurrences that must lie there.
 PAPERS, EDGE_SHARE = 3, 0.75
+#: Letters that a running line may lack at its end: more cut off is too near to the beginnings of sentences. Letters of a
+#: line that one paper alone repeats, or that is a running line by its label only.
+MOST_CUT, LONGEST = 5, 110
 #: How many times as frequent a word must be to be the one meant, by length: skeletons of up to three letters meet by chance.
 LIKELY, LIKELY_SHORT = 5, 200
 #: Cosine of contexts from which a link holds; where a word is SURE times as frequent, less is enough.
@@ -131,12 +134,12 @@ def mark_running(lines: DataFrame) -> DataFrame:
     titles = lines.where((F.col("from_top") <= 2) & ((F.col("table_name") == "paper_texts") | F.col("label").isin("doc_title", "title"))).groupBy("table_name", "paper").agg(F.min(F.struct("page", "from_top", "line")).alias("t"), F.min("page").alias("first_page"))
     titles = titles.select("table_name", "paper", "first_page", F.col("t.line").alias("title"))
     c = c.join(titles, ["table_name", "paper"], "left")
-    short = F.length("line") <= 110
+    short = F.length("line") <= LONGEST
     alike = mapped(_begins, "boolean", "title", "line")
     outer = (F.col("from_top") <= 2) | (F.col("from_bottom") <= 3) | F.col("labelled")
     on = (
         F.col("noise")
-        | (F.coalesce("common", "shortened", F.lit(False)) & short)
+        | F.coalesce("common", "shortened", F.lit(False))
         | (F.coalesce("repeated", F.lit(False)) & short & (F.col("page") >= F.coalesce("first_page", F.col("page"))) & ~F.coalesce(F.col("label").isin("table", "doc_title", "paragraph_title"), F.lit(False)))
         | (F.coalesce("paged", F.lit(False)) & outer)
         | ((F.col("style") == "marked") & outer)
@@ -150,11 +153,13 @@ def mark_running(lines: DataFrame) -> DataFrame:
 
 def _cut_short(candidates: DataFrame, common: DataFrame) -> DataFrame:
     """(table_name, row_no, line_no, shortened): lines at edges that are a common running line with its end cut off or a sign added."""
-    packed = lambda c: F.regexp_replace(c, "[ #]", "")
-    a = candidates.where("worded").select("table_name", "row_no", "line_no", packed("key").alias("k"), F.substring(packed("key"), 1, 12).alias("p")).where(F.length("k") >= 14)
-    b = common.select(packed("key").alias("c"), F.substring(packed("key"), 1, 12).alias("p")).distinct()
-    near = F.col("c").startswith(F.col("k")) & (F.length("c") - F.length("k") <= 5)
-    return a.join(b, "p").where(near).select("table_name", "row_no", "line_no", F.lit(True).alias("shortened")).distinct()
+    packed = F.regexp_replace("key", "[ #]", "")
+    a = candidates.where("worded").select("table_name", "row_no", "line_no", packed.alias("k"))
+    # Running lines are few: their beginnings meet the lines by equality.
+    whole = common.select(packed.alias("c")).distinct()
+    least = F.greatest(F.lit(14), F.length("c") - MOST_CUT)
+    b = whole.where(F.length("c") >= least).select(F.explode(F.transform(F.sequence(least, F.length("c")), lambda n: F.substring(F.col("c"), F.lit(1), n))).alias("k")).distinct()
+    return a.join(b, "k").select("table_name", "row_no", "line_no", F.lit(True).alias("shortened")).distinct()
 
 
 def _begins(title: str | None, line: str | None) -> bool:
