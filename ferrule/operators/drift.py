@@ -183,17 +183,54 @@ def unified_values(files: DataFrame, names: dict[str, str]) -> DataFrame:
 
     Columns: file_no, sample, n, pos, path (the canonical one), raw_path, raw_type, value, as_type, number, boolean,
     cast_failed. ``as_type`` is the most frequent raw type of the canonical path over all files; a value that cannot
-    be read as that type stays as text and is reported in ``cast_failed``.
+    be read as that type stays as text and is reported in ``cast_failed``. Fields written as null stay, with null type and
+    value; objects and arrays of objects are no values of their own.
     """
-    values = path_values(files).where("bit > 0 and bit < 32")
+    values = path_values(files).where("bit < 32")
     entries = [F.lit(x) for kv in names.items() for x in kv]
     path: Column = F.coalesce(F.try_element_at(F.create_map(*entries), F.col("path")), F.col("path")) if entries else F.col("path")
-    kind = F.element_at(F.create_map(*[F.lit(x) for k, v in TYPES.items() for x in (v, k)]), F.col("bit"))
+    kind = F.try_element_at(F.create_map(*[F.lit(x) for k, v in TYPES.items() for x in (v, k)]), F.col("bit"))
     values = values.select("file_no", "sample", "n", "pos", path.alias("path"), F.col("path").alias("raw_path"), kind.alias("raw_type"), "value")
     counts = values.groupBy("path", "raw_type").count()
-    as_type = counts.groupBy("path").agg(F.max_by("raw_type", F.struct("count", "raw_type")).alias("as_type"))
+    # Null has no type: it counts last, so only a path that is always null has none.
+    seen = F.struct(F.col("raw_type").isNotNull(), "count", "raw_type")
+    as_type = counts.groupBy("path").agg(F.max_by("raw_type", seen).alias("as_type"))
     number = F.when(F.col("as_type") == "number", F.col("value").try_cast("double"))
     boolean = F.when(F.col("as_type") == "boolean", F.col("value").try_cast("boolean"))
-    failed = ((F.col("as_type") == "number") & number.isNull()) | ((F.col("as_type") == "boolean") & boolean.isNull())
+    compound = F.col("as_type").isin("array", "object") & (F.col("raw_type") != F.col("as_type"))
+    unread = ((F.col("as_type") == "number") & number.isNull()) | ((F.col("as_type") == "boolean") & boolean.isNull()) | compound
+    failed = F.coalesce(F.col("raw_type").isNotNull() & unread, F.lit(False))
     # as_type has one row for each path of the schema: small, and Spark broadcasts it only where its measured size allows.
     return values.join(as_type, "path").select("file_no", "sample", "n", "pos", "path", "raw_path", "raw_type", "value", "as_type", number.alias("number"), boolean.alias("boolean"), failed.alias("cast_failed"))
+
+
+#: Paths that one level may have as columns; more are an error.
+MOST_COLUMNS = 10_000
+
+
+def typed_tables(unified: DataFrame) -> dict[str, DataFrame]:
+    """By array level, as ``items[]`` or ``items[].Properties_Info[]``: its records as rows of typed columns.
+
+    ``unified``: the values of :func:`unified_values`. A row is (file_no, sample, n, pos) with a column for each canonical
+    path below the level, named by its keys joined by underscores: double for numbers, boolean, else text. A value that
+    can't be read as its column's type is null there and listed as ``path: value`` in ``failed_casts``. What comes to the
+    driver are the paths of the schema with their types.
+    """
+    unified = cut(unified.withColumn("level", F.regexp_extract("path", r"^(.*\[\])\.", 1)))
+    paths = unified.groupBy("level", "path").agg(F.max("as_type").alias("as_type")).orderBy("path").limit(MOST_COLUMNS + 1).collect()
+    if len(paths) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} paths: not a schema")
+    out = {}
+    for level in sorted({r.level for r in paths}):
+        columns, taken = [], {"file_no", "sample", "n", "pos", "failed_casts"}
+        for r in (r for r in paths if r.level == level):
+            name = base = r.path[len(level) + 1 :].replace(".", "_")
+            k = 2
+            while name.lower() in taken:
+                name, k = f"{base}_{k}", k + 1
+            taken.add(name.lower())
+            value = {"number": "number", "boolean": "boolean"}.get(r.as_type, "value")
+            columns.append(F.first(F.when(F.col("path") == r.path, F.col(value)), ignorenulls=True).alias(name))
+        failed = F.array_sort(F.collect_list(F.when(F.col("cast_failed"), F.concat_ws(": ", "path", "value")))).alias("failed_casts")
+        out[level] = unified.where(F.col("level") == level).groupBy("file_no", "sample", "n", "pos").agg(*columns, failed)
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.operators.diff import current_rows, diff_tables
-from ferrule.operators.drift import canonical_names, changes, unified_values
+from ferrule.operators.drift import canonical_names, changes, typed_tables, unified_values
 from ferrule.operators.flatten import RecordTables
 from ferrule.operators.unify_units import foreign_numbers, reference, unify
 from ferrule.sources.tables import table
@@ -31,6 +31,22 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return unified_values(files, canonical_names(changes(files)))
 
 
+def _p1_level(spark: SparkSession, folder: str, level: str) -> DataFrame:
+    tables = typed_tables(p1_records(spark, folder))
+    empty = "file_no bigint, sample string, n int, pos string, failed_casts array<string>"
+    return tables[level] if level in tables else spark.createDataFrame([], empty)
+
+
+def p1_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The items of all files as rows of typed columns."""
+    return _p1_level(spark, folder, "items[]")
+
+
+def p1_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """The properties of all files as rows of typed columns."""
+    return _p1_level(spark, folder, "items[].Properties_Info[]")
+
+
 def _register(spark: SparkSession, folder: str, name: str, order: list[str]) -> DataFrame:
     fields = {n: F.col(p) for n, p in _FIELDS.items()}
     return current_rows(table(spark, folder, name), {k: F.col(k) for k in _KEYS}, fields, [F.col(c) for c in order])
@@ -101,4 +117,4 @@ def p4_values(spark: SparkSession, folder: str) -> DataFrame:
     return _units(spark, folder)[0].select(*columns).distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_records, p4_found, p4_values, p5_found, p5_differences, p6_found, p6_items, p6_elements, p6_parameters, p6_features, p6_precipitates, p6_properties)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_records, p1_items, p1_properties, p4_found, p4_values, p5_found, p5_differences, p6_found, p6_items, p6_elements, p6_parameters, p6_features, p6_precipitates, p6_properties)}

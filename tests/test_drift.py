@@ -50,6 +50,18 @@ def test_one_table_follows_renames_and_reports_failed_casts(spark):
     assert t[t["cast_failed"]]["value"].tolist() in (["many"], [])
 
 
+def test_typed_tables(spark):
+    files = [file(1, [item("a", x=1, ok=True, P=[{"V": 1.5, "U": None}, {"V": 2.5, "U": "MPa"}])]), file(2, [item("a", x="2", ok=False, P=[{"V": "much", "U": "MPa"}])]), file(3, [item("b", x=None, P=[]), item(None, x=3)])]
+    unified = drift.unified_values(spark.createDataFrame(files, S), {})
+    tables = drift.typed_tables(unified)
+    assert set(tables) == {"items[]", "items[].P[]"}
+    items, properties = (tables[k].toPandas() for k in ("items[]", "items[].P[]"))
+    assert dict(tables["items[]"].dtypes)["x"] == "double" and dict(tables["items[]"].dtypes)["ok"] == "boolean" and dict(tables["items[].P[]"].dtypes)["V"] == "double"
+    assert sorted(items["x"].dropna()) == [1.0, 2.0, 3.0] and len(items) == 4
+    assert sorted(properties["V"].dropna()) == [1.5, 2.5] and [f for r in properties["failed_casts"] for f in r] == ["items[].P[].V: much"]
+    assert drift.typed_tables(unified.limit(0)) == {}
+
+
 def test_previous_row_in_a_hot_group_over_many_ranges(spark):
     df = spark.range(2000).selectExpr("'hot' as g", "id as o", "id as v").unionByName(spark.range(3).selectExpr("'cold' as g", "id as o", "id as v"))
     got = {(r.g, r.o): r.p for r in with_previous(df, ["g"], ["o"], "v", "p", 7).collect()}
