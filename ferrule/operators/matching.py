@@ -128,3 +128,43 @@ def nearest_tests(gold: DataFrame, found: DataFrame, group: list[str], key: str,
     pairs = g.join(f, group).withColumn("d", d).where(F.col("d") <= tolerance)
     best = pairs.groupBy("g").agg(F.min(F.struct("d", F.abs(F.col("gv") - F.col("fv")).alias("e"), "f")).alias("m"))
     return best.select("g", F.col("m.f").alias("f"), F.col("m.d").alias("d"), F.col("m.e").alias("e"))
+
+
+#: What a gold test without partner costs, what a pair of which one has no temperature does, and how many units of value
+#: weigh as one kelvin.
+NO_PARTNER, ONE_UNKNOWN, VALUE_SCALE = 1000.0, 10.0, 1000.0
+
+
+def assigned_tests(gold: DataFrame, found: DataFrame, group: list[str], key: str, kinds: list[str] | None = None, tolerance: float = 1.0) -> DataFrame:
+    """(group, gold_test, found_test): gold tests assigned one to one to the found tests of their group at least cost.
+
+    ``gold`` and ``found`` have ``t`` (temperature) and ``v`` (value, null as 0); only tests equal in the columns ``kinds``
+    meet. As many as can be are matched: a pair costs its difference of temperature, which must be within ``tolerance``, and
+    a little for that of the values. A group is one item, so it is bounded by what an article says of it.
+    """
+    kinds, types = kinds or [], dict(gold.dtypes)
+
+    def some(g: pd.DataFrame, f: pd.DataFrame) -> list[tuple[int, int]]:
+        gt, ft = g["t"].to_numpy(dtype=float)[:, None], f["t"].to_numpy(dtype=float)[None, :]
+        apart = np.abs(gt - ft)
+        away = np.where(np.isnan(gt) & np.isnan(ft), 0.0, np.where(np.isnan(gt) | np.isnan(ft), ONE_UNKNOWN, apart))
+        gv, fv = (x["v"].fillna(0.0).to_numpy(dtype=float) for x in (g, f))
+        cost = away + np.abs(gv[:, None] - fv[None, :]) / VALUE_SCALE
+        saved = np.where(apart > tolerance, 0.0, np.minimum(cost - NO_PARTNER, 0.0))
+        return [(int(g[key].iloc[i]), int(f[key].iloc[j])) for i, j in assignment(saved - saved.min()) if saved[i, j] < 0]
+
+    def solve(_, g: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        made: list[tuple[int, int]] = []
+        if len(g) and len(f):
+            g, f = g.sort_values(key, kind="stable"), f.sort_values(key, kind="stable")
+            parts = {k: p for k, p in f.groupby(kinds)} if kinds else {}
+            for k, p in g.groupby(kinds) if kinds else [(None, g)]:
+                other = parts.get(k) if kinds else f
+                made += some(p, other) if other is not None else []
+        out = {c: [g[c].iloc[0]] * len(made) if made else [] for c in group}
+        return pd.DataFrame({**out, "gold_test": [x for x, _ in made], "found_test": [y for _, y in made]})
+
+    schema = ", ".join(f"`{c}` {types[c]}" for c in group) + f", gold_test {types[key]}, found_test {types[key]}"
+    # Columns of their own: both sides may come from one table, which a cogroup would not tell apart.
+    sides = [x.select(*[F.col(c).alias(c) for c in dict.fromkeys([*group, *kinds, key, "t", "v"])]) for x in (gold, found)]
+    return sides[0].groupBy(*group).cogroup(sides[1].groupBy(*group)).applyInPandas(solve, schema)

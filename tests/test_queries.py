@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
-CORE = [n for n in entry.oracle_sql() if n in {**entry.reference_queries.QUERIES, **entry.core_queries.QUERIES}]
+CORE = [n for n in entry.oracle_sql() if n in {**entry.reference_queries.QUERIES, **entry.score_queries.QUERIES, **entry.core_queries.QUERIES}]
 
 
 @pytest.fixture(scope="module")
